@@ -2,8 +2,8 @@
 
 1. Rows are compacted to distinct places, so copies at one place are searched
    once and never paired with each other.
-2. Every place takes the k-th distinct distance inside its own tile as an upper
-   bound on its k-th neighbour.
+2. Every place takes the k-th distinct distance among places next to it on the
+   curve as an upper bound on its k-th neighbour.
 3. Tiles within that bound are searched, and the k smallest distances are kept.
 4. The results of a place are handed to all ids that share it.
 
@@ -15,15 +15,21 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.cells import Box
 from tessera.operators.topk import check_ties, top_k
+from tessera.plans import window_bound
 from tessera.plans.cut import written
-from tessera.plans.skew import salted_join
+from tessera.plans.skew import copy, deal, hot_keys, salted_join
 from tessera.plans.tiles import Packed, Pivoted, Plane, matches, pack
 
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(window_bound)
+
 # A key with fewer source rows than this needs no salting.
 CROWD = 1 << 18
 
@@ -64,23 +70,35 @@ def _places(
 def _bounds(packed: Packed, sources: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     """Add ``bound``: the k-th distinct distance to other places in the own tile.
 
-    Infinite where the tile has fewer; such a source searches its whole group.
+    Infinite where the tile has fewer; such a source searches all targets.
     """
     shape = packed.shape
-    members = F.collect_list(F.struct("g", *shape.columns)).alias("members")
-    tiles = targets.groupBy("tile").agg(members)
-    if packed.n_targets == packed.n_rows or packed.n_rows <= CROWD:
-        joined = sources.join(tiles, "tile")
+    q = sources.select(*[F.col(c) if c == "tile" else F.col(c).alias(f"q_{c}") for c in sources.columns])
+    t = targets.select("tile", *[F.col(c).alias(f"t_{c}") for c in ("g", *shape.columns)])
+    if packed.n_rows <= CROWD:
+        met, by = q.join(t, "tile"), ["tile"]
     else:
-        joined = salted_join(sources, tiles, ["tile"], ["rank"], CROWD)
-    others = F.filter("members", lambda t: (t["g"] == F.col("g")) & ~_same(t.getField, shape))
-    reached = F.transform(others, lambda t: shape.distance(F.col, t.getField))
-    kth = F.get(F.sort_array(F.array_distinct(reached)), F.lit(k - 1))
-    return joined.withColumn("bound", F.coalesce(kth, F.lit(float("inf")))).drop("members")
+        hot = hot_keys(q, ["tile"], CROWD)
+        met = deal(q, hot, ["tile"], ["q_rank"]).join(copy(t, hot, ["tile"]), ["tile", "_salt"])
+        by = ["tile", "_salt"]
+    dist = shape.distance(lambda c: F.col(f"q_{c}"), lambda c: F.col(f"t_{c}"))
+    counts = (F.col("q_g") == F.col("t_g")) & _elsewhere(shape)
+    # A tile bounds the number of distances per source.
+    reached = F.sort_array(F.collect_set(F.when(counts, dist)))
+    rest = [c for c in sources.columns if c not in ("tile", "rank")]
+    return (
+        met.groupBy(*by, F.col("q_rank").alias("rank"))
+        .agg(F.get(reached, F.lit(k - 1)).alias("kth"), *[F.any_value(f"q_{c}").alias(c) for c in rest])
+        .withColumn("bound", F.coalesce("kth", F.lit(float("inf"))))
+        .select("rank", "tile", *rest, "bound")
+    )
 
 
-def _same(other, shape: Plane | Pivoted) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c) == other(c) for c in shape.columns])
+def _elsewhere(shape: Plane | Pivoted) -> Column:
+    """Source and target are at different places."""
+    return ~reduce(
+        lambda a, b: a & b, [F.col(f"q_{c}") == F.col(f"t_{c}") for c in shape.columns]
+    )
 
 
 def _neighbours(k: int, ties: str, exclude_self: bool) -> Column:
@@ -114,25 +132,29 @@ def _search(
 ) -> DataFrame:
     place = ["g", *shape.columns]
     cap = max(k + 1, 8)
-    size = 64
-    while size < 4 * (k + 1):
-        size *= 2
+    axes = ["v"] if "v" in shape.columns else ["x", "y"]
+
+    def enrich(rows: DataFrame) -> DataFrame:
+        schema = T.StructType([*rows.schema, T.StructField("bound", T.DoubleType())])
+        return rows.mapInArrow(window_bound.add_bound(k, axes), schema)
+
     packed = pack(
         _places(r, s, place, cap, unique_ids),
         box,
-        size,
+        window_bound.span_for(k),
         shape,
         target=None if s is None else F.col("s_ids").isNotNull(),
         width=F.coalesce(F.size("r_ids"), F.lit(0)),
+        enrich=enrich if s is None else None,
     )
-    sources = packed.rows.where(F.col("r_ids").isNotNull())
-    targets = packed.rows.where(F.col("s_ids").isNotNull())
-    bounds = written(_bounds(packed, sources, targets, k), "bounds")
+    if s is None:
+        bounds = targets = packed.rows
+    else:
+        sources = packed.rows.where(F.col("r_ids").isNotNull())
+        targets = packed.rows.where(F.col("s_ids").isNotNull())
+        bounds = written(_bounds(packed, sources, targets, k), "bounds")
 
-    elsewhere = ~reduce(
-        lambda a, b: a & b, [F.col(f"q_{c}") == F.col(f"t_{c}") for c in shape.columns]
-    )
-    found = matches(packed, bounds, targets, ["rank"], ["s_ids"], elsewhere)
+    found = matches(packed, bounds, targets, ["rank"], ["s_ids"], _elsewhere(shape))
     if ties == "distinct":
         pairs = found.select("q_rank", "dist", F.get("t_s_ids", F.lit(0)).alias("dst"))
     else:

@@ -18,7 +18,7 @@ Column conventions: ``g`` group that neighbours must share (BIGINT), ``x`` and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -94,6 +94,7 @@ class Packed:
     n_targets: int
     widest: int
     shape: Plane | Pivoted
+    one_sided: bool
 
     @property
     def n_tiles(self) -> int:
@@ -109,11 +110,13 @@ def pack(
     tie_break: Sequence[str] = (),
     target: Column | None = None,
     width: Column | None = None,
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Packed:
     """Sort ``rows`` along the curve, number them and write them.
 
     ``target`` marks the rows that can be found; without it every row can.
     ``width`` is an integer per row whose maximum is reported as ``widest``.
+    ``enrich`` adds columns while the rows pass by in curve order.
     The sort key ends in columns that tell all rows apart, so that range
     partitions stay even where many rows share a place.
     """
@@ -136,7 +139,8 @@ def pack(
         placed = placed.withColumn(
             "ahead", F.coalesce(F.sum(found.cast("long")).over(before), F.lit(0))
         )
-    table = written(placed.drop("z"), "packed")
+    placed = placed.drop("z")
+    table = written(placed if enrich is None else enrich(placed), "packed")
     # One row per range partition: their number is the session's setting.
     parts = (
         table.groupBy("part")
@@ -172,7 +176,7 @@ def pack(
         .drop("part", "row", "start", "slots", "ahead")
     )
     widest = max((p["width"] or 0 for p in parts), default=0)
-    return Packed(numbered, box, size, n_rows, n_targets, widest, shape)
+    return Packed(numbered, box, size, n_rows, n_targets, widest, shape, target is None)
 
 
 def _box(prefix: str = "") -> list[Column]:
@@ -190,6 +194,8 @@ def levels(packed: Packed, targets: DataFrame) -> tuple[DataFrame, list[int]]:
     while counts[-1] > TOP:
         counts.append(-(-counts[-1] // FAN))
     leaves = targets.groupBy("tile").agg(*_box())
+    if len(counts) == 1:
+        return leaves.withColumnRenamed("tile", "node").withColumn("level", F.lit(0)), counts
     step = F.floor(F.col("tile") / F.pow(F.lit(float(FAN)), F.col("level")))
     nodes = (
         leaves.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(len(counts) - 1))))
@@ -234,8 +240,7 @@ def tile_pairs(packed: Packed, probes: DataFrame, targets: DataFrame) -> DataFra
             frontier = frontier.drop(*box_columns).withColumn(
                 "node", F.explode(F.sequence(first, last))
             )
-    pairs = frontier.select("a", F.col("node").alias("tile"), *box_columns)
-    return written(pairs, "pairs")
+    return frontier.select("a", F.col("node").alias("tile"), *box_columns)
 
 
 def matches(
@@ -257,6 +262,7 @@ def matches(
     join_on = ["tile"]
     n_source_tiles = -(-packed.n_rows // packed.size)
     if n_source_tiles > BUSY:
+        pairs = written(pairs, "pairs")
         hot = hot_keys(pairs, ["tile"], BUSY)
         pairs = deal(pairs, hot, ["tile"], ["a"])
         targets = copy(targets, hot, ["tile"])
