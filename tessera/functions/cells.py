@@ -62,10 +62,12 @@ def with_zkey(df: DataFrame, box: Box, name: str = "z") -> DataFrame:
     half_extent = max(half) or 1.0
 
     def axis(column: str, low: float) -> Column:
-        share = (F.col(column) / 2 - F.lit(low / 2)) / F.lit(half_extent)
-        return F.floor(share * F.lit(steps)).cast("long")
+        return F.expr(
+            f"cast(floor(({column} / 2 - double('{low / 2!r}'))"
+            f" / double('{half_extent!r}') * double('{steps!r}')) as bigint)"
+        )
 
-    out = df.withColumn("_zx", axis("x", box.x_min)).withColumn("_zy", axis("y", box.y_min))
+    out = df.withColumns({"_zx": axis("x", box.x_min), "_zy": axis("y", box.y_min)})
     # Spread 31 bits over the even positions. Every step is its own projection
     # so that a value used twice is computed once.
     for shift, mask in (
@@ -76,9 +78,7 @@ def with_zkey(df: DataFrame, box: Box, name: str = "z") -> DataFrame:
         (1, 0x5555555555555555),
     ):
         out = out.withColumns(
-            {
-                c: F.col(c).bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask))
-                for c in ("_zx", "_zy")
-            }
+            {c: F.expr(f"({c} | shiftleft({c}, {shift})) & {mask}L") for c in ("_zx", "_zy")}
         )
-    return out.withColumn(name, F.col("_zx").bitwiseOR(F.shiftleft("_zy", 1))).drop("_zx", "_zy")
+    z = F.expr("_zx | shiftleft(_zy, 1)")
+    return out.withColumn(name, z).drop("_zx", "_zy")

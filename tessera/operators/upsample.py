@@ -24,14 +24,18 @@ def upsample(
     ny: int = 100,
     seed: int = 42,
     clamp: bool = False,
+    box: DataFrame | None = None,
 ) -> DataFrame:
     """``factor`` new points per input point, uniform in the cell of the input.
 
+    ``box`` is a one-row bounding box to lay the grid over; by default that of
+    the points.
     Ids are dense from 1. Cells are counted out in runs of at most ``RUN``
     points, dealt over all tasks, so a cell that holds most of the data does not
     land in one task.
     """
-    cells = grid_histogram(points, nx, ny, clamp)
+    bounds = bounding_box(points) if box is None else box
+    cells = grid_histogram(points, nx, ny, clamp, bounds)
     # At most (nx + 1) * (ny + 1) rows, so a single task can number them.
     before = Window.orderBy("cx", "cy").rowsBetween(Window.unboundedPreceding, -1)
     total = F.col("n") * F.lit(factor)
@@ -40,19 +44,21 @@ def upsample(
     )
 
     def spread(df: DataFrame, count: Column, name: str) -> DataFrame:
-        return df.where(count > 0).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
+        steps = F.sequence(F.lit(0).cast("long"), count - 1)
+        return df.where(count > 0).withColumn(name, F.explode(steps))
 
     # Three nested counters, each below RUN: blocks of runs, runs, points.
     blocks = spread(sized, F.ceil(F.col("total") / (RUN * RUN)), "block")
+    full = F.lit(RUN).cast("long")
     left = F.col("total") - F.col("block") * (RUN * RUN)
-    runs = spread(blocks.withColumn("left", left), F.least(F.ceil(F.col("left") / RUN), F.lit(RUN).cast("long")), "run")
+    in_block = F.least(F.ceil(F.col("left") / RUN), full)
+    runs = spread(blocks.withColumn("left", left), in_block, "run")
     dealt = runs.repartition("cx", "cy", "block", "run")
-    here = F.least(F.col("left") - F.col("run") * RUN, F.lit(RUN).cast("long"))
-    counted = spread(dealt, here, "i")
+    counted = spread(dealt, F.least(F.col("left") - F.col("run") * RUN, full), "i")
     numbered = counted.withColumn(
         "id", F.col("start") + F.col("block") * (RUN * RUN) + F.col("run") * RUN + F.col("i") + 1
     )
-    one = bounding_box(points).select(F.struct("*").alias("box")).scalar()
+    one = bounds.select(F.struct("min_x", "max_x", "min_y", "max_y").alias("box")).scalar()
     edge_x = (one["max_x"] - one["min_x"]) / F.lit(nx)
     edge_y = (one["max_y"] - one["min_y"]) / F.lit(ny)
     return numbered.select(

@@ -34,10 +34,8 @@ cloudpickle.register_pickle_by_value(window_bound)
 CROWD = 1 << 18
 
 
-def _finite(columns: tuple[str, ...] = ("x", "y")) -> Column:
-    return reduce(
-        lambda a, b: a & b, [F.abs(F.col(c)) < F.lit(float("inf")) for c in columns]
-    )
+def _finite() -> Column:
+    return F.expr("abs(x) < double('inf') and abs(y) < double('inf')")
 
 
 def _compact(points: DataFrame, place: list[str], cap: int, unique_ids: bool) -> DataFrame:
@@ -103,26 +101,30 @@ def _elsewhere(shape: Plane | Pivoted) -> Column:
 
 def _neighbours(k: int, ties: str, exclude_self: bool) -> Column:
     """Merge the ids at the own place (distance 0) with the ``others`` list."""
-    here = F.coalesce("s_ids", F.expr("slice(r_ids, 1, 0)"))
+    here = F.coalesce("s_ids", F.slice("r_ids", 1, 0))
     if exclude_self:
-        here = F.filter(here, lambda i: i != F.col("src"))
+        here = F.array_remove(here, F.col("src"))
     zero = lambda i: F.struct(F.lit(0.0).alias("dist"), i.alias("dst"))
+    others = F.col("others")
     if ties == "all":
         own = F.transform(F.slice(here, 1, k), zero)
-        return F.slice(F.sort_array(F.concat(own, "others")), 1, k)
-    own = F.transform(F.slice(here, 1, 1), zero)
+        return F.slice(F.sort_array(F.concat(own, others)), 1, k)
+    first = F.get(here, F.lit(0))
     # Two places so close that their distance rounds to 0 share one entry.
-    touching = (F.size(own) > 0) & (F.get("others", F.lit(0))["dist"] == 0.0)
-    smaller = F.slice(F.sort_array(F.concat(own, F.slice("others", 1, 1))), 1, 1)
-    merged = F.when(
-        touching, F.concat(smaller, F.slice("others", 2, k))
-    ).otherwise(F.concat(own, "others"))
+    touching = F.get(others, F.lit(0))["dist"] == 0.0
+    nearest = F.least(first, F.get(others, F.lit(0))["dst"])
+    merged = (
+        F.when(first.isNull(), others)
+        .when(touching, F.concat(F.array(zero(nearest)), F.slice(others, 2, k)))
+        .otherwise(F.concat(F.array(zero(first)), others))
+    )
     return F.slice(merged, 1, k)
 
 
 def _search(
     r: DataFrame,
     s: DataFrame | None,
+    n_rows: int,
     box: Box,
     k: int,
     ties: str,
@@ -140,8 +142,9 @@ def _search(
 
     packed = pack(
         _places(r, s, place, cap, unique_ids),
+        n_rows,
         box,
-        window_bound.span_for(k),
+        window_bound.span_for(k) // 2,
         shape,
         target=None if s is None else F.col("s_ids").isNotNull(),
         width=F.coalesce(F.size("r_ids"), F.lit(0)),
@@ -168,7 +171,7 @@ def _search(
         .agg(F.sort_array(F.collect_list(F.struct("dist", "dst"))).alias("others"))
         .withColumnRenamed("q_rank", "rank")
     )
-    none = F.expr("slice(transform(r_ids, i -> struct(0D as dist, i as dst)), 1, 0)")
+    none = F.array().cast(lists.schema["others"].dataType)
     solved = bounds.join(lists, "rank", "left").withColumn("others", F.coalesce("others", none))
 
     few = solved
@@ -233,6 +236,7 @@ def knn_join(
             for agg, name in ((F.min, "min"), (F.max, "max"))
         ],
         F.count_if(~_finite()).alias("astray"),
+        F.count("*").alias("n"),
     ).first()
     box = Box(*[stat[f"{c}_{end}"] or 0.0 for c in ("x", "y") for end in ("min", "max")])
     if stat["astray"]:
@@ -240,7 +244,7 @@ def knn_join(
         near_s = None if s is None else s.where(_finite())
     else:
         near_r, near_s = r, s
-    result = _search(near_r, near_s, box, k, ties, exclude_self, unique_ids, shape)
+    result = _search(near_r, near_s, stat["n"], box, k, ties, exclude_self, unique_ids, shape)
     if stat["astray"]:
         astray = _astray(r, r if s is None else s, k, exclude_self)
         result = result.select("src", "dst", "dist").unionByName(astray)

@@ -34,7 +34,10 @@ FAN = 16
 TOP = 64
 
 # A tile searched by at most this many source tiles needs no salting.
-BUSY = 4096
+BUSY = 1 << 16
+
+# A row costs hundreds of distances, so partitions are sized by rows, not bytes.
+ROWS_PER_TASK = 16384
 
 # monotonically_increasing_id keeps the position in the partition in 33 bits.
 _ROW_MASK = (1 << 33) - 1
@@ -95,6 +98,7 @@ class Packed:
     widest: int
     shape: Plane | Pivoted
     one_sided: bool
+    tasks: int
 
     @property
     def n_tiles(self) -> int:
@@ -103,6 +107,7 @@ class Packed:
 
 def pack(
     rows: DataFrame,
+    n_rows: int,
     box: Box,
     size: int,
     shape: Plane | Pivoted,
@@ -114,6 +119,8 @@ def pack(
 ) -> Packed:
     """Sort ``rows`` along the curve, number them and write them.
 
+    ``size`` is a power of two. ``n_rows`` is a row count, exact or too high, to size the work by; the
+    session's shuffle partitions are the most that is used.
     ``target`` marks the rows that can be found; without it every row can.
     ``width`` is an integer per row whose maximum is reported as ``widest``.
     ``enrich`` adds columns while the rows pass by in curve order.
@@ -121,9 +128,11 @@ def pack(
     partitions stay even where many rows share a place.
     """
     order = ["g", "z", *shape.columns, *tie_break]
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(most, n_rows // ROWS_PER_TASK))
     placed = (
         with_zkey(rows, box)
-        .repartitionByRange(*order)
+        .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .withColumn("part", F.spark_partition_id())
         .withColumn("row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)))
@@ -167,16 +176,17 @@ def pack(
             }
         )
     )
+    bits = size.bit_length() - 1
     slot = F.col("slots") + F.col("ahead")
     numbered = (
         table.join(F.broadcast(offsets), "part")
         .withColumn("rank", F.col("start") + F.col("row"))
-        .withColumn("a", F.floor(F.col("rank") / size))
-        .withColumn("tile", F.floor(F.least(slot, F.lit(max(n_targets - 1, 0))) / size))
+        .withColumn("a", F.shiftright("rank", bits))
+        .withColumn("tile", F.shiftright(F.least(slot, F.lit(max(n_targets - 1, 0))), bits))
         .drop("part", "row", "start", "slots", "ahead")
     )
     widest = max((p["width"] or 0 for p in parts), default=0)
-    return Packed(numbered, box, size, n_rows, n_targets, widest, shape, target is None)
+    return Packed(numbered, box, size, n_rows, n_targets, widest, shape, target is None, tasks)
 
 
 def _box(prefix: str = "") -> list[Column]:
@@ -196,10 +206,10 @@ def levels(packed: Packed, targets: DataFrame) -> tuple[DataFrame, list[int]]:
     leaves = targets.groupBy("tile").agg(*_box())
     if len(counts) == 1:
         return leaves.withColumnRenamed("tile", "node").withColumn("level", F.lit(0)), counts
-    step = F.floor(F.col("tile") / F.pow(F.lit(float(FAN)), F.col("level")))
+    bits = FAN.bit_length() - 1
     nodes = (
         leaves.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(len(counts) - 1))))
-        .withColumn("node", step)
+        .withColumn("node", F.expr(f"shiftright(tile, {bits} * level)"))
         .groupBy("level", "node")
         .agg(
             *[F.min(f"{c}_lo").alias(f"{c}_lo") for c in ("x", "y", "g")],
@@ -218,6 +228,8 @@ def tile_pairs(packed: Packed, probes: DataFrame, targets: DataFrame) -> DataFra
     nodes, counts = levels(packed, targets)
     top = len(counts) - 1
     sources = probes.groupBy("a").agg(*_box("p_"), F.max("bound").alias("bound"))
+    # Few rows that fan out: keep them on all tasks.
+    sources = sources.repartition(packed.tasks, "a")
     gaps = [
         gap(F.col(f"{c}_lo"), F.col(f"{c}_hi"), F.col(f"p_{c}_lo"), F.col(f"p_{c}_hi"))
         for c in ("x", "y")
@@ -284,7 +296,7 @@ def matches(
     ]
     within = shape.apart(*gaps) <= shape.reach(F.col("q_bound"), packed.box)
     box_columns = [f"{c}_{end}" for c in ("x", "y", "g") for end in ("lo", "hi")]
-    visits = q.join(pairs, "a").where(inside & within).drop("a", *box_columns)
+    visits = q.repartition(packed.tasks, "a").join(pairs, "a").where(inside & within).drop("a", *box_columns)
     dist = shape.distance(lambda c: F.col(f"q_{c}"), lambda c: F.col(f"t_{c}"))
     wanted = (F.col("q_g") == F.col("t_g")) & (dist <= F.col("q_bound"))
     if condition is not None:
