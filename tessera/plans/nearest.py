@@ -46,11 +46,18 @@ def _compact(points: DataFrame, place: list[str], cap: int, unique_ids: bool) ->
     """
     rows = points if unique_ids else points.distinct()
     first = Window.partitionBy(*place).orderBy("id")
+    ranked = rows.withColumn("rk", F.row_number().over(first)).where(F.col("rk") <= cap + 1)
+    return _nested(ranked, place, F.col("id"), "ids").drop("id")
+
+
+def _nested(ranked: DataFrame, by: list[str], value: Column, name: str) -> DataFrame:
+    """One row per ``by`` with ``value`` nested, from rows limited by their rank ``rk``.
+
+    A window reuses the order of the ranking, where an aggregate would sort again.
+    """
+    values = F.collect_list(value).over(Window.partitionBy(*by))
     return (
-        rows.withColumn("_n", F.row_number().over(first))
-        .where(F.col("_n") <= cap + 1)
-        .groupBy(*place)
-        .agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        ranked.withColumn(name, F.sort_array(values)).where(F.col("rk") == 1).drop("rk")
     )
 
 
@@ -165,11 +172,9 @@ def _search(
         pairs = found.select("q_rank", "dist", first_ids)
         if not unique_ids:
             pairs = pairs.distinct()
-    lists = (
-        top_k(pairs, k, ties, by="q_rank")
-        .groupBy("q_rank")
-        .agg(F.sort_array(F.collect_list(F.struct("dist", "dst"))).alias("others"))
-        .withColumnRenamed("q_rank", "rank")
+    ranked = top_k(pairs, k, ties, by="q_rank")
+    lists = _nested(ranked, ["q_rank"], F.struct("dist", "dst"), "others").select(
+        F.col("q_rank").alias("rank"), "others"
     )
     none = F.array().cast(lists.schema["others"].dataType)
     solved = bounds.join(lists, "rank", "left").withColumn("others", F.coalesce("others", none))

@@ -151,16 +151,12 @@ def pack(
     placed = placed.drop("z")
     table = written(placed if enrich is None else enrich(placed), "packed")
     # One row per range partition: their number is the session's setting.
-    parts = (
-        table.groupBy("part")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(found).alias("found"),
-            F.max(F.lit(1) if width is None else width).alias("width"),
-        )
-        .orderBy("part")
-        .collect()
+    per_part = table.groupBy("part").agg(
+        F.count("*").alias("n"),
+        F.sum(found).alias("found"),
+        F.max(F.lit(1) if width is None else width).alias("width"),
     )
+    parts = sorted(per_part.collect(), key=lambda p: p["part"])
     starts, slots, n_rows, n_targets = [], [], 0, 0
     for p in parts:
         starts.append(n_rows)
@@ -216,7 +212,8 @@ def levels(packed: Packed, targets: DataFrame) -> tuple[DataFrame, list[int]]:
             *[F.max(f"{c}_hi").alias(f"{c}_hi") for c in ("x", "y", "g")],
         )
     )
-    return written(nodes, "nodes"), counts
+    # Every level reads the nodes again; up to a size that costs less than a write.
+    return (written(nodes, "nodes") if counts[0] > BUSY else nodes), counts
 
 
 def tile_pairs(packed: Packed, probes: DataFrame, targets: DataFrame) -> DataFrame:
@@ -228,8 +225,8 @@ def tile_pairs(packed: Packed, probes: DataFrame, targets: DataFrame) -> DataFra
     nodes, counts = levels(packed, targets)
     top = len(counts) - 1
     sources = probes.groupBy("a").agg(*_box("p_"), F.max("bound").alias("bound"))
-    # Few rows that fan out: keep them on all tasks.
-    sources = sources.repartition(packed.tasks, "a")
+    # Few rows that fan out: deal them over all tasks.
+    sources = sources.repartition(packed.tasks)
     gaps = [
         gap(F.col(f"{c}_lo"), F.col(f"{c}_hi"), F.col(f"p_{c}_lo"), F.col(f"p_{c}_hi"))
         for c in ("x", "y")
