@@ -57,6 +57,10 @@ VIEWS = {
     "lineitem": _points(
         "lineitem", "l_orderkey", lambda: F.col("l_quantity"), lambda: F.col("l_extendedprice")
     ),
+    # Few ids with many places each.
+    "nations": _points(
+        "customer", "c_nationkey", lambda: F.col("c_acctbal"), lambda: F.col("c_custkey")
+    ),
 }
 
 # The same views for DuckDB.
@@ -68,6 +72,7 @@ VIEW_SQL = {
     "orders": "SELECT o_orderkey id, o_totalprice::DOUBLE x, "
     "date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::DOUBLE y FROM orders",
     "lineitem": "SELECT l_orderkey id, l_quantity::DOUBLE x, l_extendedprice::DOUBLE y FROM lineitem",
+    "nations": "SELECT c_nationkey id, c_acctbal::DOUBLE x, c_custkey::DOUBLE y FROM customer",
 }
 
 
@@ -196,7 +201,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "knn_exact_embeddings": _on("embeddings", lambda p: ts.knn_exact(p, None, K, **unique)),
         "knn_exact_all_ties": _on("part", lambda p: ts.knn_exact(p, None, K, ties="all", **unique)),
         "knn_exact_orders": _on("orders", lambda p: ts.knn_exact(p, None, K, **unique)),
-        "knn_exact_repeated_ids": _on("lineitem", lambda p: ts.knn_exact(p, None, K)),
+        "knn_exact_orders_all_ties": _on(
+            "orders", lambda p: ts.knn_exact(p, None, K, ties="all", **unique)
+        ),
+        "knn_exact_lineitem": _on("lineitem", lambda p: ts.knn_exact(p, None, K)),
+        "knn_exact_repeated_ids": _on("nations", lambda p: ts.knn_exact(p, None, K)),
+        "knn_ring_repeated_ids": _on("nations", lambda p: ts.knn_ring(p, K)),
         "knn_ring_wide": _on("part", lambda p: ts.knn_ring(p, K, num_rings=8, **unique)),
         "knn_ring_all_ties": _on("part", lambda p: ts.knn_ring(p, K, ties="all", **unique)),
         "knn_ring_keep_empty": _on("customer", lambda p: ts.knn_ring(p, K, keep_empty=True, **unique)),
@@ -249,6 +259,27 @@ c AS (SELECT a.id src, b.id dst, {dist} dist FROM r a JOIN s b ON {on}),
 {top}"""
 
 
+NOT_SELF = "NOT (a.id = b.id AND a.x = b.x AND a.y = b.y)"
+
+
+def _passes_sql(view: str) -> str:
+    """The k smallest distinct distances, one pass over all pairs per rank.
+
+    Keeps no pairs, so it works where grouping all pairs by distance does not fit.
+    """
+    near = f"min(struct_pack(dist := {DIST}, dst := b.id))"
+    passes = [f"n1 AS (SELECT a.id src, {near} n FROM p a JOIN p b ON {NOT_SELF} GROUP BY a.id)"]
+    for rk in range(2, K + 1):
+        passes.append(
+            f"n{rk} AS (SELECT a.id src, {near} n FROM p a JOIN n{rk - 1} m ON a.id = m.src"
+            f" JOIN p b ON {NOT_SELF} AND {DIST} > m.n.dist GROUP BY a.id)"
+        )
+    rows = " UNION ALL ".join(
+        f"SELECT src, n.dst dst, n.dist dist, {rk}::INT rk FROM n{rk}" for rk in range(1, K + 1)
+    )
+    return f"WITH p AS ({VIEW_SQL[view]}),\n" + ",\n".join(passes) + f"\n{rows}"
+
+
 def _ring_ctes(view: str, boundary: str = "fraction", rings: str = f"floor(count(*)/{K})") -> str:
     offset = {"fraction": "m - floor(m)", "relative": "d/width - floor(d/width)"}[boundary]
     return f"""WITH p AS (SELECT id, x, y, x*x+y*y "key" FROM ({VIEW_SQL[view]})),
@@ -264,7 +295,7 @@ a AS (SELECT id, x, y, home ring FROM f
 
 def _ring_sql(view: str, boundary: str = "fraction", top: str = DISTINCT_K, **more) -> str:
     return f"""{_ring_ctes(view, boundary, **more)},
-c AS (SELECT DISTINCT a.id src, b.id dst, {DIST} dist FROM a JOIN a b ON a.ring = b.ring AND a.id <> b.id),
+c AS (SELECT DISTINCT a.id src, b.id dst, {DIST} dist FROM a JOIN a b ON a.ring = b.ring AND {NOT_SELF}),
 {top}"""
 
 
@@ -311,6 +342,13 @@ c AS (SELECT a.id src, b.id dst, sqrt(list_sum(list_transform(range(1, {VEC_DIMS
         "knn_exact_customer": _brute_sql("customer", "customer"),
         "knn_exact_embeddings": _brute_sql("embeddings", "embeddings"),
         "knn_exact_all_ties": _brute_sql("part", "part", top=ALL_K),
+        "knn_exact_orders": _passes_sql("orders"),
+        "knn_exact_orders_all_ties": f"""WITH p AS ({VIEW_SQL["orders"]}),
+t AS (SELECT a.id src, min(struct_pack(dist := {DIST}, dst := b.id), {K}) n FROM p a JOIN p b ON a.id <> b.id GROUP BY a.id),
+u AS (SELECT src, unnest(n) e, generate_subscripts(n, 1) rk FROM t)
+SELECT src, e.dst dst, e.dist dist, rk::INT rk FROM u""",
+        "knn_exact_repeated_ids": _brute_sql("nations", "nations", NOT_SELF),
+        "knn_ring_repeated_ids": _ring_sql("nations"),
         "knn_ring_wide": _ring_sql("part", rings="8"),
         "knn_ring_all_ties": _ring_sql("part", top=ALL_K),
         "knn_ring_keep_empty": _ring_sql("customer").replace(
