@@ -13,6 +13,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 import tessera as ts
+from tessera.plans.cut import release
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -91,6 +92,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             box=ts.bounding_box(lines),
         )
         ts.write_points(grown, args.output)
+    release(spark)
 
 
 def main() -> None:

@@ -17,7 +17,7 @@ def top_k(pairs: DataFrame, k: int, ties: str = "distinct", by: str = "src") ->
     """Keep the ``k`` smallest distances of every source.
 
     ``pairs`` has the columns ``by``, ``dst`` and ``dist``; the result adds the
-    rank ``rk``, from 1. With ``ties="distinct"`` equal distances of a source
+    rank ``rk``, from 1; a null distance ranks last. With ``ties="distinct"`` equal distances of a source
     collapse into one neighbour, the one with the smallest id. With
     ``ties="all"`` every pair counts, ordered by distance and id.
 
@@ -28,10 +28,10 @@ def top_k(pairs: DataFrame, k: int, ties: str = "distinct", by: str = "src") ->
     check_ties(ties)
     if ties == "distinct":
         ranked = pairs.groupBy(by, "dist").agg(F.min("dst").alias("dst"))
-        order = Window.partitionBy(by).orderBy("dist")
+        order = Window.partitionBy(by).orderBy(F.asc_nulls_last("dist"))
     else:
         ranked = pairs
-        order = Window.partitionBy(by).orderBy("dist", "dst")
+        order = Window.partitionBy(by).orderBy(F.asc_nulls_last("dist"), "dst")
     return (
         ranked.withColumn("rk", F.row_number().over(order))
         .where(F.col("rk") <= k)

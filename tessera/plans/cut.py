@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_tables: list[str] = []
 _local_folder: tempfile.TemporaryDirectory | None = None
 
 
@@ -36,4 +37,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{folder(spark)}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables written so far, once no result that reads them is needed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _tables:
+        path = hadoop.Path(_tables.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

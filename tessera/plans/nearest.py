@@ -30,7 +30,8 @@ from tessera.plans.tiles import Packed, Pivoted, Plane, matches, pack
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(window_bound)
 
-# A key with fewer source rows than this needs no salting.
+# A key with fewer source rows than this needs no salting, and an input with
+# fewer rows is cheaper to compute twice than to write.
 CROWD = 1 << 18
 
 
@@ -147,8 +148,12 @@ def _search(
         schema = T.StructType([*rows.schema, T.StructField("bound", T.DoubleType())])
         return rows.mapInArrow(window_bound.add_bound(k, axes), schema)
 
+    places = _places(r, s, place, cap, unique_ids)
+    if n_rows > CROWD:
+        # Range partitioning reads its input twice, to sample and to send.
+        places = written(places, "places")
     packed = pack(
-        _places(r, s, place, cap, unique_ids),
+        places,
         n_rows,
         box,
         window_bound.span_for(k) // 2,

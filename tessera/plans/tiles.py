@@ -212,8 +212,8 @@ def levels(packed: Packed, targets: DataFrame) -> tuple[DataFrame, list[int]]:
             *[F.max(f"{c}_hi").alias(f"{c}_hi") for c in ("x", "y", "g")],
         )
     )
-    # Every level reads the nodes again; up to a size that costs less than a write.
-    return (written(nodes, "nodes") if counts[0] > BUSY else nodes), counts
+    # Every level reads the nodes again, which pays for a write beyond two levels.
+    return (written(nodes, "nodes") if len(counts) > 2 else nodes), counts
 
 
 def tile_pairs(packed: Packed, probes: DataFrame, targets: DataFrame) -> DataFrame:

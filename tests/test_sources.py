@@ -102,3 +102,5 @@ def test_cuts_go_to_the_shared_folder(spark):
     assert cut.folder(spark) == shared
     table = cut.written(spark.range(3), "try")
     assert table.count() == 3 and shared in table.inputFiles()[0]
+    cut.release(spark)
+    assert not glob.glob(f"{shared}/tessera-try-*")
