@@ -87,11 +87,14 @@ def knn_vec(
     """kNN over the first ``m`` coordinates of the array column ``v``.
 
     Search regions are pruned by the distances to two vectors of the data: the
-    one farthest from the origin and the one farthest from that.
+    one farthest from the origin and the one farthest from that. Arrays with
+    fewer than ``m`` coordinates, or with null ones, take no part.
     """
+
     def cut(df: DataFrame) -> DataFrame:
         v = F.transform(F.slice("v", 1, m), lambda c: c.cast("double") + F.lit(0.0))
-        return df.select("id", v.alias("v")).where(F.col("v").isNotNull())
+        whole = (F.size("v") == m) & F.forall("v", lambda c: c.isNotNull())
+        return df.select("id", v.alias("v")).where(whole)
 
     r_cut, s_cut = cut(r), None if s is None else cut(s)
     targets = r_cut if s_cut is None else s_cut
@@ -99,8 +102,9 @@ def knn_vec(
     def farthest(pivot: list[float]) -> list[float]:
         away = euclidean_vec(F.col("v"), _literal(pivot), m)
         # The vector breaks ties, so that every run picks the same one.
-        top = targets.agg(F.max(F.struct(away.alias("d"), "v")).alias("top")).first()["top"]
-        return pivot if top is None or top["v"] is None else top["v"]
+        finite = F.when(away < float("inf"), F.struct(away.alias("d"), "v"))
+        top = targets.agg(F.max(finite).alias("top")).first()["top"]
+        return pivot if top is None else top["v"]
 
     first = farthest([0.0] * m)
     second = farthest(first)

@@ -69,14 +69,13 @@ def add_bound(k: int, axes: list[str]) -> Callable[[Iterator[pa.RecordBatch]], I
             context = len(groups) - fresh
             bound = np.empty(len(groups))
             width = min(span, len(groups))
-            # As many windows at a time as keep the distances near 32 MB.
-            step = max(1, (1 << 22) // (width * width * points.shape[1])) * width
-            # The first window ends where the fresh rows need it; the last one
-            # is moved back so that it is full.
             starts = np.arange(0, len(groups), width)
+            # The last window is moved back so that it is full.
             starts[-1] = len(groups) - width
-            for at in range(0, len(starts), max(1, step // width)):
-                rows = starts[at : at + max(1, step // width), None] + np.arange(width)
+            # As many windows at a time as keep the distances near 32 MB.
+            at_once = max(1, (1 << 22) // (width * width * points.shape[1]))
+            for at in range(0, len(starts), at_once):
+                rows = starts[at : at + at_once, None] + np.arange(width)
                 kth = _kth_distinct(groups[rows], points[rows], k)
                 bound[rows.ravel()] = kth.ravel()
             last_groups, last_points = groups[-span:], points[-span:]

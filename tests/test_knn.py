@@ -156,6 +156,15 @@ def test_vectors(spark):
         assert brute.rows(ts.knn_vec(df, None, 3, m, unique_ids=True)) == brute.top_k(found, 3)
 
 
+def test_odd_vectors(spark):
+    nan = float("nan")
+    data = [(1, [0.0, 0.0, 9.0]), (2, [3.0, 4.0]), (3, [nan, 1.0]), (4, [1.0]), (5, [1.0, None]), (6, None)]
+    df = spark.createDataFrame(data, "id bigint, v array<double>")
+    assert brute.rows(ts.knn_vec(df, None, 2, 2)) == {
+        (1, 2, 5.0, 1), (1, 3, "NaN", 2), (2, 1, 5.0, 1), (2, 3, "NaN", 2), (3, 1, "NaN", 1),
+    }
+
+
 def test_no_nested_loop_join_between_points(spark, points):
     df = points(clustered(3000, 7))
     for result in (ts.knn_exact(df, k=5), ts.knn_ring(df, 5), ts.radius_join(df, None, 1.0)):
