@@ -14,6 +14,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import tessera as ts  # noqa: E402
 from tessera.plans.cut import folder  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from tessera.llm import queries as llm
+except ModuleNotFoundError as error:
+    # Only the absence of the whole subpackage is expected.
+    if error.name not in ("corpus_pipeline", "tessera.llm"):
+        raise
+    llm = None
+
 K = 5
 VEC_DIMS = 64
 
@@ -236,6 +245,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         found[f"knn_ring_relative_{view}"] = _on(
             view, lambda p: ts.knn_ring(p, K, boundary="relative", **unique)
         )
+    if llm is not None:
+        found |= llm.queries()
+        found["pipeline"] = corpus_pipeline.run
     return found
 
 
@@ -386,6 +398,10 @@ FROM ({VIEW_SQL['lineitem']})) WHERE n = 1""",
     for view in ("part", "customer", "embeddings"):
         sql[f"knn_ring_{view}"] = _ring_sql(view)
         sql[f"knn_ring_relative_{view}"] = _ring_sql(view, "relative")
+    if llm is not None:
+        sql |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
 
 
