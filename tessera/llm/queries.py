@@ -7,29 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import license_scan, quality_rules, url_filters
+from tessera.llm import license_scan, mixing, packing, quality_rules, simhash, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filters.judge(_table(spark, sf_dir, "pages"))
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, ["doc_id"])
+    return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", "position")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality_rules.measure(_table(spark, sf_dir, "documents"))
     return measured.select("doc.doc_id", *measured.columns[1:])
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return grouped.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_url_filters, op8_quality_rules, op10_license_scan)}
+    registered = (op2_packing, op3_url_filters, op5_mixing, op8_quality_rules, op9_simhash, op10_license_scan)
+    return {f.__name__: f for f in registered}
 
 
 QUALITY_SQL = r"""
