@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import license_scan, mixing, packing, quality_rules, simhash, url_filters
+from tessera.llm import (
+    html_extract,
+    license_scan,
+    mixing,
+    packing,
+    quality_rules,
+    simhash,
+    topk_search,
+    url_filters,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -23,6 +36,13 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select(
+        "page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.mix(docs, ["doc_id"])
@@ -45,7 +65,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op2_packing, op3_url_filters, op5_mixing, op8_quality_rules, op9_simhash, op10_license_scan)
+    registered = (op1_topk_search, op2_packing, op3_url_filters, op4_html_extract, op5_mixing, op8_quality_rules, op9_simhash, op10_license_scan)
     return {f.__name__: f for f in registered}
 
 
@@ -69,5 +89,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+SEARCH_SQL = """
+WITH v AS (SELECT row_number() OVER () rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) v
+  FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid, a.vec_id query_id, b.vec_id, list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.rid <> b.rid),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": QUALITY_SQL}
+    return {"op1_topk_search": SEARCH_SQL, "op8_quality_rules": QUALITY_SQL}
