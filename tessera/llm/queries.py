@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm import (
     html_extract,
     license_scan,
+    lm_scoring,
     mixing,
     packing,
     quality_rules,
@@ -49,6 +50,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality_rules.measure(_table(spark, sf_dir, "documents"))
     return measured.select("doc.doc_id", *measured.columns[1:])
@@ -65,7 +70,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op1_topk_search, op2_packing, op3_url_filters, op4_html_extract, op5_mixing, op8_quality_rules, op9_simhash, op10_license_scan)
+    registered = (
+        op1_topk_search,
+        op2_packing,
+        op3_url_filters,
+        op4_html_extract,
+        op5_mixing,
+        op7_lm_scoring,
+        op8_quality_rules,
+        op9_simhash,
+        op10_license_scan,
+    )
     return {f.__name__: f for f in registered}
 
 
