@@ -15,6 +15,7 @@ from tessera.llm import (
     packing,
     quality_rules,
     simhash,
+    suffix_dedup,
     topk_search,
     url_filters,
 )
@@ -50,6 +51,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffix_dedup.removed(docs, ["doc_id"])
+    return cut.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_url_filters,
         op4_html_extract,
         op5_mixing,
+        op6_suffix_dedup,
         op7_lm_scoring,
         op8_quality_rules,
         op9_simhash,

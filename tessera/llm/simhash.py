@@ -240,20 +240,20 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def groups(rows: DataFrame, bits: int = BITS) -> DataFrame:
-    """``rows`` (with ``doc_id`` and ``fp``) with ``component_id``, the smallest id reachable."""
+    """``rows`` (with ``doc_id`` and ``fp``) with ``root``, the group, and ``component_id``, its smallest id."""
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
     found = components(links(classes, bits))
     rooted = classes.join(found, classes["fp"] == found["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(rooted.join(ids, "root").select("fp", "component_id"), "fp")
+    return rows.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fp, component_id`` for every row."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return groups(written(fingerprints(rows), "fingerprints"))
+    return groups(written(fingerprints(rows), "fingerprints")).drop("root")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -262,9 +262,9 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     row_key = F.xxhash64(*columns)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), row_key.alias("row_key"), F.col(f"`{text}`").alias("text"))
     grouped = groups(written(fingerprints(rows), "fingerprints"))
-    # The group is known by its root's id; nulls sort last in a struct with this flag.
+    # Null ids come last.
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")
-    kept = grouped.groupBy("component_id").agg(first).select("first.doc_id", "first.row_key")
+    kept = grouped.groupBy("root").agg(first).select("first.doc_id", "first.row_key")
     kept = kept.select(F.xxhash64("doc_id", "row_key").alias("kept_key"))
     keyed = docs.select(F.struct("*").alias("doc"), F.xxhash64(F.col(f"`{doc_id}`"), row_key).alias("kept_key"))
     return keyed.join(kept, "kept_key", "left_semi").dropDuplicates(["kept_key"]).select("doc.*")
