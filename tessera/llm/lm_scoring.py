@@ -102,21 +102,29 @@ def discounts(counts: np.ndarray, k: int = K) -> np.ndarray:
     return factors
 
 
+CHUNKS = "chunk long, doc_ids binary, flags binary, sizes binary, tokens binary, hashes binary, counts binary"
+#: What the tokens' side of a chunk consists of.
+TOKENS = ["chunk", "doc_ids", "flags", "sizes", "tokens"]
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """``chunk, doc_ids, sizes, tokens, hashes, counts``: documents as numbers of a chunk's own words.
+    """``CHUNKS``: documents as numbers of a chunk's own words.
 
-    Word 0 of a chunk is the end token. ``counts`` are its words' training counts.
+    Word 0 of a chunk is the end token. ``counts`` are its words' training counts,
+    ``flags`` of a document are 1 if it is held out and 2 if its id is null.
     """
 
     def chunk(number: int, ids: list, sizes: list, tokens: list, words: dict) -> pa.RecordBatch:
         sizes, own = np.array(sizes), np.concatenate(tokens)
-        training = np.repeat([not held_out(i) for i in ids], sizes)
+        flags = np.array([held_out(i) + 2 * (i is None) for i in ids])
+        training = np.repeat(flags & 1 == 0, sizes)
         # The empty word stands for the end token; no other word is empty.
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
         counts = np.bincount(own[training], minlength=len(words))
-        values = [number, ids, packed(sizes), packed(own), hashes.tobytes(), packed(counts)]
-        types = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
-        names = ["chunk", "doc_ids", "sizes", "tokens", "hashes", "counts"]
+        doc_ids = np.array([0 if i is None else i for i in ids], "<i8").tobytes()
+        values = [number, doc_ids, packed(flags), packed(sizes), packed(own), hashes.tobytes(), packed(counts)]
+        types = [pa.int64(), *[pa.binary()] * 6]
+        names = [c.split()[0] for c in CHUNKS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +145,7 @@ def chunks(docs: DataFrame) -> DataFrame:
         if ids:
             yield chunk(number, ids, sizes, tokens, words)
 
-    return docs.mapInArrow(
-        run, "chunk long, doc_ids array<long>, sizes binary, tokens binary, hashes binary, counts binary"
-    )
+    return docs.mapInArrow(run, CHUNKS)
 
 
 def _spread(groups: np.ndarray, n: int) -> list[np.ndarray]:
@@ -210,14 +216,16 @@ class Chunk:
     """
 
     def __init__(self, row: pd.Series, words: pd.DataFrame):
-        self.doc_ids = list(row["doc_ids"])
+        flags = unpacked(row["flags"])
+        self.held_out = flags & 1 == 1
+        self.doc_ids = pd.array(np.frombuffer(row["doc_ids"], "<i8"), dtype="Int64")
+        self.doc_ids[flags & 2 == 2] = pd.NA
         self.sizes, self.tokens = unpacked(row["sizes"]), unpacked(row["tokens"])
         n = sum(len(unpacked(x)) for x in words["a"])
         self.numbers, self.counts = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for _, part in words.iterrows():
             at = _risen(part["a"])
             self.numbers[at], self.counts[at] = unpacked(part["b"]), unpacked(part["c"])
-        self.held_out = np.array([held_out(i) for i in self.doc_ids])
         # Word 0 is the end token, which is no history: it stands for the start.
         self.firsts = np.cumsum(self.sizes) - self.sizes
         history = np.empty_like(self.tokens)
@@ -318,7 +326,7 @@ def pair_counts(held: DataFrame, words: DataFrame, buckets: int, n_train: int) -
         return _answers([*rows, ("sum", -1, bucket, packed(sums), None, None, None)])
 
     asked = (
-        held.select("chunk", "doc_ids", "sizes", "tokens")
+        held.select(*TOKENS)
         .groupBy("chunk")
         .cogroup(words.where("kind = 'word'").groupBy("chunk"))
         .applyInPandas(
@@ -391,7 +399,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         of_token = chunk.pair_of
         return pd.DataFrame(
             {
-                "doc_id": pd.array(chunk.doc_ids, dtype="Int64"),
+                "doc_id": chunk.doc_ids,
                 "held_out": chunk.held_out,
                 "n_tokens": chunk.sizes,
                 "n_known": np.add.reduceat((word_count > 0)[of_token].astype(np.int64), chunk.firsts),
@@ -403,7 +411,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     known = words.where("kind = 'word'").unionByName(pairs.where("kind = 'pair'"))
     return (
-        held.select("chunk", "doc_ids", "sizes", "tokens")
+        held.select(*TOKENS)
         .groupBy("chunk")
         .cogroup(known.groupBy("chunk"))
         .applyInPandas(

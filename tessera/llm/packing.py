@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -158,16 +157,16 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
             yield table(packer.taken(), part, id_type)
 
     def merge(turn: int, last: bool):
-        def run(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
-            packer = Packer(_prefix(turn, int(key[0])))
+        def run(key: tuple, pieces: pa.Table) -> pa.Table:
+            part = key[0].as_py()
+            packer, id_type = Packer(_prefix(turn, part)), pieces.schema.field("doc_id").type
             # Large pieces first; the other columns make the order one of a kind.
-            pieces = pieces.sort_values(["length", "sequence_id", "offset"], ascending=[False, True, True])
-            own_ids = pieces["doc_id"].astype(object).where(pieces["doc_id"].notna(), None)
-            for own_id, start, ids, tokens in zip(own_ids, pieces["start"], pieces["ids"], pieces["doc_tokens"]):
-                packer.add(own_id, int(start), np.frombuffer(ids, "<u4"), int(tokens))
+            pieces = pieces.sort_by([("length", "descending"), ("sequence_id", "ascending"), ("offset", "ascending")])
+            columns = [pieces.column(c).to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens")]
+            for own_id, start, ids, tokens in zip(*columns):
+                packer.add(own_id, start, np.frombuffer(ids, "<u4"), tokens)
             packer.close(not last)
-            made = pd.DataFrame(packer.taken(), columns=[*names, "ids"])
-            return made.assign(part=int(key[0]))
+            return pa.Table.from_batches([table(packer.taken(), part, id_type)])
 
         return run
 
@@ -177,7 +176,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     turn = 1
     while True:
         last = parts <= FAN
-        merged = open_rows.groupBy((F.col("part") / FAN).cast("long").alias("group")).applyInPandas(
+        merged = open_rows.groupBy((F.col("part") / FAN).cast("long").alias("group")).applyInArrow(
             merge(turn, last), schema
         )
         if last:

@@ -120,12 +120,17 @@ def anchors(classes: DataFrame) -> DataFrame:
     return classes.select("fp").mapInArrow(run, "anchor long, home boolean, fp long")
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits; as unsigned numbers, for numpy counts the bits of a signed one's size."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _few_links(home: np.ndarray, every: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links from ``home`` to ``every`` that join two groups; not all of a dense group's pairs."""
     every, group = np.unique(np.concatenate([every, home])), None
     group = np.arange(len(every))
     for fp in home:
-        near = np.flatnonzero(np.bitwise_count(every ^ fp) <= bits)
+        near = np.flatnonzero(_distance(every, fp) <= bits)
         own = group[np.searchsorted(every, fp)]
         others, first = np.unique(group[near], return_index=True)
         new = others != own
@@ -141,7 +146,7 @@ def _pairs(starts: np.ndarray, sizes: np.ndarray, home: np.ndarray, fps: np.ndar
     n = sizes[group]
     left = np.repeat(rows, n)
     right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[group], n)
-    found = (np.bitwise_count(fps[left] ^ fps[right]) <= bits) & (fps[left] != fps[right])
+    found = (_distance(fps[left], fps[right]) <= bits) & (fps[left] != fps[right])
     return fps[left[found]], fps[right[found]]
 
 

@@ -97,7 +97,7 @@ def search_shard(
 
 
 def shards(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
-    """One row per shard: ids, rows, its queries and their k-th scores inside the shard."""
+    """One row per shard: ids (``LAST`` for null), rows, its queries and their k-th scores inside the shard."""
     v = F.col("v")
     usable = vectors.where(
         v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -112,7 +112,7 @@ def shards(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         held = np.array([LAST if i is None else i for i in ids], np.int64)
         q = np.flatnonzero(np.array(is_q, bool))
         scores, _, _ = search_shard(rows, held, rows[q], np.full(len(q), NONE), q, k)
-        values = [number, rows.shape[1], ids, rows.astype("<i4").tobytes(), q.tolist(), [ids[i] for i in q], scores[:, -1].tolist()]
+        values = [number, rows.shape[1], held.tolist(), rows.astype("<i4").tobytes(), q.tolist(), [ids[i] for i in q], scores[:, -1].tolist()]
         types = [
             pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(),
             pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()),
@@ -175,7 +175,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
         q = np.vstack([_padded(unpack(row), dim) for _, row in queries.iterrows()])
         q_rows, q_ids, least = (np.concatenate(queries[c].to_list()) for c in ("q_rows", "q_ids", "q_least"))
         home = np.repeat(queries["home"].to_numpy(), queries["q_rows"].map(len))
-        ids = np.array([LAST if i is None or i != i else int(i) for i in own["ids"]], np.int64)
+        ids = own["ids"].astype(np.int64)
         rows_own = np.where(home == own["shard"], q_rows, -1)
         scores, found, _ = search_shard(unpack(own), ids, q, least.astype(np.int64), rows_own, k)
         who, place = np.nonzero((scores != NONE) & (scores >= least[:, None]))
