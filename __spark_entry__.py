@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import sys
+import tempfile
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import tessera as ts  # noqa: E402
-from tessera.plans.cut import folder  # noqa: E402
+from tessera.plans import cut  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -27,6 +31,28 @@ K = 5
 VEC_DIMS = 64
 
 
+def _with_folder(query: Callable[[SparkSession, str], DataFrame]):
+    """Run ``query`` with a folder for intermediate tables.
+
+    A cluster names its shared folder in ``spark.checkpoint.dir``. Only a session in
+    one process that has none gets one here, as this module is run without settings too.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        try:
+            cut.folder(spark)
+        except RuntimeError:
+            if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+                raise
+            own = tempfile.TemporaryDirectory(prefix="tessera-")
+            atexit.register(own.cleanup)
+            spark.sparkContext.setCheckpointDir(own.name)
+        return query(spark, sf_dir)
+
+    return run
+
+
 # --- point views over the tables -------------------------------------------
 
 
@@ -131,14 +157,32 @@ def _dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _radius_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources deduplicated by id, targets as they are."""
-    points = VIEWS["customer"](spark, sf_dir)
-    return ts.radius_join(ts.dedup_last(points, "id", ["x", "y"]), points, 2.0)
+    points = VIEWS["nations"](spark, sf_dir)
+    return ts.radius_join(ts.dedup_last(points, "id", ["x", "y"]), points, 100.0)
+
+
+def _knn_beyond(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources beside the region of all targets."""
+    sources = VIEWS["customer"](spark, sf_dir).withColumn("x", F.col("x") + 1000)
+    return ts.knn_exact(sources, VIEWS["part"](spark, sf_dir), K, exclude_self=False, unique_ids=True)
+
+
+def _knn_vec_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few values per component, so that very many distances are equal."""
+    steps = F.transform("v", lambda c: F.round(c * 4) * 0.3)
+    return ts.knn_vec(_vectors(spark, sf_dir).withColumn("v", steps), None, K, 16, unique_ids=True)
+
+
+def _odd(points: DataFrame) -> DataFrame:
+    """Some coordinates turned into NaN, infinity and null."""
+    kind = F.pmod("id", F.lit(50))
+    x = F.when(kind == 0, float("nan")).when(kind == 1, float("inf")).when(kind != 2, F.col("x"))
+    return points.withColumn("x", x)
 
 
 def _read_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the points as text lines, then read those."""
-    name = spark.sparkContext.applicationId + str(abs(hash((sf_dir, os.urandom(8)))))
-    path = f"{folder(spark)}/tessera-lines-{name}"
+    path = cut.place(spark, "lines")
     ts.write_points(VIEWS["part"](spark, sf_dir), path)
     return ts.read_points(spark, path).select("id", "x", "y")
 
@@ -231,6 +275,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "radius_join_dedup_sources": _radius_sources,
         "radius_join_capped": _on("embeddings", lambda p: ts.radius_join_capped(p, None, 0.05, 5)),
+        "grid_histogram_odd": _on("embeddings", lambda p: ts.grid_histogram(_odd(p))),
+        "ring_assign_odd": _on("customer", lambda p: ts.ring_assign(_odd(p), K).select("id", "home")),
+        "point_stats_odd": _on("customer", lambda p: ts.point_stats(_odd(p), K)),
+        "knn_beyond": _knn_beyond,
+        "knn_vec_ties": _knn_vec_ties,
         "grid_histogram": _on("part", ts.grid_histogram),
         "grid_histogram_embeddings": _on("embeddings", ts.grid_histogram),
         "grid_histogram_clamped": _on("lineitem", lambda p: ts.grid_histogram(p, clamp=True)),
@@ -248,7 +297,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     if llm is not None:
         found |= llm.queries()
         found["pipeline"] = corpus_pipeline.run
-    return found
+    return {name: _with_folder(query) for name, query in found.items()}
 
 
 # --- the same in SQL -----------------------------------------------------------
@@ -323,6 +372,25 @@ c AS (SELECT floor((x-x0)/((x1-x0)/100))::BIGINT cx, floor((y-y0)/((y1-y0)/100))
       FROM p CROSS JOIN b)"""
 
 
+def _near_sql(view: str) -> str:
+    """Exact neighbours without all pairs, for places with many others at the same x.
+
+    The place ``K`` steps up or down at the same x bounds the ``K``-th distance; a
+    range join on y then finds all places that near.
+    """
+    return f"""WITH p AS (SELECT DISTINCT id, x, y FROM ({VIEW_SQL[view]})),
+u AS (SELECT DISTINCT x, y FROM p),
+w AS (SELECT x, y, 1.000001 * least(coalesce(lead(y, {K}) OVER o - y, 1e300), coalesce(y - lag(y, {K}) OVER o, 1e300)) reach
+  FROM u WINDOW o AS (PARTITION BY x ORDER BY y)),
+a AS (SELECT id, x, y, y - reach low, y + reach high, reach FROM p JOIN w USING (x, y)),
+c AS (SELECT a.id src, b.id dst, {DIST} dist FROM a JOIN p b ON b.y >= a.low AND b.y <= a.high
+  WHERE {DIST} <= a.reach AND {NOT_SELF}),
+{DISTINCT_K}"""
+
+
+ODD_X = "CASE id % 50 WHEN 0 THEN 'nan'::DOUBLE WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN NULL ELSE x END"
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL that gives the same rows; absent where it is too slow on whole tables."""
     stats = """WITH p AS (SELECT x*x+y*y "key" FROM ({view})),
@@ -378,7 +446,28 @@ SELECT src, e.dst dst, e.dist dist, rk::INT rk FROM u""",
         "radius_join": _radius_sql("embeddings", 0.05),
         "radius_join_part": _radius_sql("part", 1.0),
         "radius_join_exclude_self": _radius_sql("customer", 2.0, "a.id <> b.id"),
-        "radius_join_dedup_sources": _radius_sql("customer", 2.0),
+        "radius_join_dedup_sources": f"""WITH p AS ({VIEW_SQL['nations']}),
+r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY x DESC, y DESC) n FROM p) WHERE n = 1)
+SELECT a.id src, b.id dst, {DIST} dist FROM r a JOIN p b ON {DIST} <= 100.0""",
+        "grid_histogram_odd": f"""WITH p AS (SELECT {ODD_X} x, y FROM ({VIEW_SQL['embeddings']})),
+q AS (SELECT * FROM p WHERE isfinite(x)), b AS (SELECT min(x) x0, max(x) x1, min(y) y0, max(y) y1 FROM q),
+c AS (SELECT floor((x-x0)/((x1-x0)/100))::BIGINT cx, floor((y-y0)/((y1-y0)/100))::BIGINT cy FROM q CROSS JOIN b
+  UNION ALL SELECT NULL, NULL FROM p WHERE isfinite(x) IS NOT TRUE)
+SELECT cx, cy, count(*) n FROM c GROUP BY cx, cy""",
+        "point_stats_odd": stats.format(view=f"SELECT * FROM (SELECT {ODD_X} x, y FROM ({VIEW_SQL['customer']})) WHERE isfinite(x)", k=K),
+        "ring_assign_odd": f"""WITH p AS (SELECT id, {ODD_X} x, y FROM ({VIEW_SQL['customer']})),
+q AS (SELECT id, x*x+y*y "key" FROM p WHERE isfinite(x)),
+b AS (SELECT min("key") mn, (max("key")-min("key"))/greatest(1, floor(count(*)/{K})) width FROM q)
+SELECT id, floor(("key"-mn)/width)::BIGINT home FROM q CROSS JOIN b
+UNION ALL SELECT id, NULL FROM p WHERE x IS NOT NULL AND NOT isfinite(x)""",
+        "knn_beyond": f"""WITH r AS (SELECT id, x + 1000 x, y FROM ({VIEW_SQL['customer']})), s AS ({VIEW_SQL['part']}),
+c AS (SELECT a.id src, b.id dst, {DIST} dist FROM r a CROSS JOIN s b),
+{DISTINCT_K}""",
+        "knn_vec_ties": f"""WITH p AS (SELECT vec_id id, list_transform(embedding::DOUBLE[], lambda x: round(x * 4) * 0.3) v FROM embeddings),
+c AS (SELECT a.id src, b.id dst, sqrt(list_sum(list_transform(range(1, 17),
+  lambda i: (a.v[i]-b.v[i])*(a.v[i]-b.v[i])))) dist FROM p a JOIN p b ON a.id <> b.id),
+{DISTINCT_K}""",
+        "knn_exact_lineitem": _near_sql("lineitem"),
         "radius_join_capped": f"""WITH c AS ({_radius_sql("embeddings", 0.05)}),
 {ALL_K}""",
         "grid_histogram": _grid_ctes("part") + "\nSELECT cx, cy, count(*) n FROM c GROUP BY cx, cy",

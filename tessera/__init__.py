@@ -1,5 +1,7 @@
 """Nearest-neighbour analytics over large point sets, on Spark DataFrames."""
 
+from tessera.functions.cells import grid_cell, ring_id, ring_key
+from tessera.functions.metrics import euclidean, euclidean_vec
 from tessera.operators.dedup import dedup_last
 from tessera.operators.grid import bounding_box, grid_cells, grid_histogram
 from tessera.operators.knn import knn_brute, knn_exact, knn_lat_only, knn_vec
@@ -7,12 +9,17 @@ from tessera.operators.radius import radius_join, radius_join_capped
 from tessera.operators.rings import knn_ring, point_stats, ring_assign, ring_replicas
 from tessera.operators.topk import neighbour_lists, top_k
 from tessera.operators.upsample import upsample
+from tessera.plans.cut import Tables, release
 from tessera.sources.points import parse_points, point_lines, read_points, write_points
 from tessera.sources.sinks import neighbour_report, write_neighbours, write_report
 
 __all__ = [
+    "Tables",
     "bounding_box",
     "dedup_last",
+    "euclidean",
+    "euclidean_vec",
+    "grid_cell",
     "grid_cells",
     "grid_histogram",
     "knn_brute",
@@ -28,7 +35,10 @@ __all__ = [
     "radius_join",
     "radius_join_capped",
     "read_points",
+    "release",
     "ring_assign",
+    "ring_id",
+    "ring_key",
     "ring_replicas",
     "top_k",
     "upsample",

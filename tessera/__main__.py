@@ -13,7 +13,6 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 import tessera as ts
-from tessera.plans.cut import release
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -37,9 +36,12 @@ def arguments() -> argparse.ArgumentParser:
         sub.add_argument("-k", type=int, default=5)
         sub.add_argument("--ties", choices=("distinct", "all"), default="distinct")
         if name == "brute":
+            sub.add_argument("--targets", help="lines to search, by default those of INPUT")
             sub.add_argument("--axes", choices=("plane", "x"), default="plane")
             sub.add_argument("--keep-self", action="store_true")
         else:
+            if name == "exact":
+                sub.add_argument("--targets", help="lines to search, by default those of INPUT")
             sub.add_argument("--format", choices=("parquet", "json", "orc", "text"), default="text")
         if name == "ring":
             sub.add_argument("--rings", type=int)
@@ -60,18 +62,28 @@ def _last_lines(lines: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One command; its intermediate tables are deleted at the end."""
+    with ts.Tables() as tables:
+        _run(spark, args)
+    tables.release(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     lines = ts.read_points(
         spark, args.input, args.on_bad, args.id_type, with_position=args.command in ("radius", "upsample")
     )
+    targets = None
+    if getattr(args, "targets", None):
+        targets = ts.read_points(spark, args.targets, args.on_bad, args.id_type)
     if args.command == "ring":
         found = ts.knn_ring(lines, args.k, args.rings, args.boundary, args.ties)
         ts.write_neighbours(found, args.output, args.format)
     elif args.command == "exact":
-        found = ts.knn_exact(lines, None, args.k, ties=args.ties)
+        found = ts.knn_exact(lines, targets, args.k, exclude_self=targets is None, ties=args.ties)
         ts.write_neighbours(found, args.output, args.format)
     elif args.command == "brute":
         found = ts.knn_brute(
-            lines, None, args.k, axes=args.axes, exclude_self=not args.keep_self, ties=args.ties
+            lines, targets, args.k, axes=args.axes, exclude_self=not args.keep_self, ties=args.ties
         )
         ts.write_report(found, args.output)
     elif args.command == "radius":
@@ -92,7 +104,6 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             box=ts.bounding_box(lines),
         )
         ts.write_points(grown, args.output)
-    release(spark)
 
 
 def main() -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,25 +12,34 @@ from pyspark.sql import functions as F
 AXIS_BITS = 31
 
 
+def finite(*values: Column) -> Column:
+    """All values are numbers: neither null nor NaN nor infinite."""
+    return reduce(lambda a, b: a & b, [F.coalesce(F.abs(v) < float("inf"), F.lit(False)) for v in values])
+
+
 def ring_key(x: Column, y: Column) -> Column:
     """Squared distance from the origin."""
     return x * x + y * y
 
 
 def ring_id(key: Column, low: Column, width: Column) -> Column:
-    """Number of the ring that holds ``key``; ring 0 when rings have no width."""
-    return F.coalesce(F.floor(F.try_divide(key - low, width)), F.lit(0))
+    """Number of the ring that holds ``key``; ring 0 when rings have no width.
+
+    A key that is no finite number has no ring (null).
+    """
+    return F.when(finite(key), F.coalesce(F.floor(F.try_divide(key - low, width)), F.lit(0)))
 
 
 def grid_cell(value: Column, low: Column, high: Column, n: int, clamp: bool) -> Column:
     """Cell number along one axis split into ``n`` equal cells.
 
     The largest value falls into cell ``n``; ``clamp`` moves it into the last
-    regular cell, ``n - 1``. An axis without extent has the single cell 0.
+    regular cell, ``n - 1``. An axis without extent has the single cell 0. A
+    value that is no finite number has no cell (null).
     """
     edge = F.abs(low - high) / F.lit(n)
     cell = F.coalesce(F.floor(F.try_divide(value - low, edge)), F.lit(0))
-    return F.least(cell, F.lit(n - 1)) if clamp else cell
+    return F.when(finite(value), F.least(cell, F.lit(n - 1)) if clamp else cell)
 
 
 @dataclass(frozen=True)

@@ -65,9 +65,11 @@ def knn_brute(
     )
 
 
-def knn_lat_only(points: DataFrame, k: int = 5, *, unique_ids: bool = False) -> DataFrame:
-    """kNN by the first coordinate alone; every point is its own neighbour at 0."""
-    return knn_exact(points, None, k, axes="x", exclude_self=False, unique_ids=unique_ids)
+def knn_lat_only(
+    r: DataFrame, k: int = 5, *, s: DataFrame | None = None, unique_ids: bool = False
+) -> DataFrame:
+    """kNN by the first coordinate alone; without ``s`` every point is its own neighbour at 0."""
+    return knn_exact(r, s, k, axes="x", exclude_self=False, unique_ids=unique_ids)
 
 
 def _literal(vector: list[float]) -> Column:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.cells import ring_id, ring_key
+from tessera.functions.cells import finite, ring_id, ring_key
+from tessera.functions.metrics import euclidean
+from tessera.operators.topk import check_ties, top_k
+from tessera.plans.cut import written
 from tessera.plans.nearest import knn_join
 
 BOUNDARIES = ("fraction", "relative")
@@ -23,16 +26,17 @@ def point_stats(points: DataFrame, k: int = 5, num_rings: int | None = None) ->
     """One row: point count, ring count, smallest and largest key, ring width.
 
     The ring count defaults to ``n / k``, so that a ring holds ``k`` points on
-    average, and is at least 1.
+    average, and is at least 1. Counts and keys are those of the points whose key
+    is a finite number.
     """
     key = ring_key(F.col("x"), F.col("y"))
     rings = F.floor(F.col("n") / F.lit(k)) if num_rings is None else F.lit(num_rings)
     return (
         _located(points)
         .agg(
-            F.count("*").alias("n"),
-            F.min(key).alias("min_key"),
-            F.max(key).alias("max_key"),
+            F.count_if(finite(key)).alias("n"),
+            F.min(F.when(finite(key), key)).alias("min_key"),
+            F.max(F.when(finite(key), key)).alias("max_key"),
         )
         .withColumn("rings", F.greatest(F.lit(1), rings).cast("long"))
         .withColumn("width", (F.col("max_key") - F.col("min_key")) / F.col("rings"))
@@ -50,7 +54,8 @@ def ring_assign(
 
     ``boundary="fraction"`` takes the fractional part of the offset inside the
     ring, in key units. ``"relative"`` takes the offset as a share of the width.
-    ``fr`` is null where rings have no width.
+    ``fr`` is null where rings have no width. A point whose key is no finite
+    number has no ring: ``home`` and ``fr`` are null.
     """
     if boundary not in BOUNDARIES:
         raise ValueError(f"boundary must be one of {BOUNDARIES}, not {boundary!r}")
@@ -66,7 +71,7 @@ def ring_assign(
         .withColumn("key", ring_key(F.col("x"), F.col("y")))
         .withColumn("home", ring_id(F.col("key"), low, width))
         .withColumn("_at", position)
-        .withColumn("fr", F.col("_at") - F.floor("_at"))
+        .withColumn("fr", F.when(finite(F.col("key")), F.col("_at") - F.floor("_at")))
         .drop("_at")
     )
 
@@ -79,7 +84,10 @@ def ring_replicas(
     lower: float = NEAR_LOWER,
     upper: float = NEAR_UPPER,
 ) -> DataFrame:
-    """One row per point and ring: its home and the neighbour ring it is near."""
+    """One row per point and ring: its home and the neighbour ring it is near.
+
+    A point without a ring has one row with a null ring.
+    """
     fr: Column = F.nanvl(F.col("fr"), F.lit(None).cast("double"))
     rings = F.array(
         F.col("home"),
@@ -87,7 +95,11 @@ def ring_replicas(
         F.when(fr > upper, F.col("home") + 1),
     )
     assigned = ring_assign(points, k, num_rings, boundary)
-    return assigned.withColumn("ring", F.explode(F.array_compact(rings))).drop("key", "home", "fr")
+    return assigned.withColumn("ring", F.explode_outer(F.array_compact(rings))).drop("key", "home", "fr")
+
+
+# Rings of at most so many rows are met row by row; larger ones go through tiles.
+SMALL_RING = 64
 
 
 def knn_ring(
@@ -102,20 +114,36 @@ def knn_ring(
     """Approximate kNN self-join: neighbours are sought in shared rings only.
 
     The result equals the join of all pairs that share a ring, followed by the
-    ``k`` nearest per source, but is computed with bounds inside each ring, so a
-    ring that holds much of the data is not paired with itself. A source may get
-    fewer than ``k`` rows, or none when alone in its rings; ``keep_empty`` then
-    yields one row with nulls.
+    ``k`` nearest per source. Rings of at most ``SMALL_RING`` rows are joined as
+    they are; larger rings are searched with bounds, so a ring that holds much of
+    the data is not paired with itself. A source may get fewer than ``k`` rows, or
+    none when alone in its rings; ``keep_empty`` then yields one row with nulls.
+    Points without finite coordinates are at distance NaN from all others, points
+    whose key is beyond the largest number share one ring.
     """
+    check_ties(ties)
     copies = ring_replicas(points.select("id", "x", "y"), k, num_rings, boundary)
-    found = knn_join(
-        copies.withColumnRenamed("ring", "g"),
-        None,
-        k,
-        ties=ties,
-        unique_ids=unique_ids,
-        grouped=True,
-    )
+    copies = copies.select("id", "x", "y", F.coalesce("ring", F.lit(-1)).cast("long").alias("g"))
+    if not unique_ids:
+        copies = copies.distinct()
+    astray = ~finite(F.col("x"), F.col("y"))
+    sizes = copies.groupBy("g").agg(F.count("*").alias("n"), F.count_if(astray).alias("astray"))
+    sized = written(copies.join(sizes, "g"), "rings")
+    most = sized.agg(F.max("n").alias("n"), F.max("astray").alias("astray")).first()
+    small = (F.col("n") <= SMALL_RING) & ~astray
+    a = sized.where(small).select("g", F.col("id").alias("src"), F.col("x").alias("ax"), F.col("y").alias("ay"))
+    b = sized.where(small).select("g", F.col("id").alias("dst"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    same = (F.col("src") == F.col("dst")) & (F.col("ax") == F.col("bx")) & (F.col("ay") == F.col("by"))
+    dist = euclidean(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+    found = a.join(b, "g").where(~same).select("src", "dst", dist.alias("dist"))
+    if (most["n"] or 0) > SMALL_RING or most["astray"]:
+        # Rows without a place are within reach of all others, so then all take part.
+        larger = sized if most["astray"] else sized.where(F.col("n") > SMALL_RING)
+        searched = knn_join(
+            larger.select("id", "x", "y", "g"), None, k, ties=ties, unique_ids=unique_ids, grouped=True
+        )
+        found = searched.select("src", "dst", "dist").unionByName(found)
+    found = top_k(found.distinct() if ties == "all" else found, k, ties)
     if keep_empty:
         ids = points.select(F.col("id").alias("src")).distinct()
         found = ids.join(found, "src", "left")

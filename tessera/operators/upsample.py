@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.grid import bounding_box, grid_histogram
+from tessera.plans.cut import written
 
 # Longest array built while counting out the points of a cell.
 RUN = 1 << 16
 
+# Points that one task makes, about.
+TASK = 1 << 20
+
 
 def _uniform(seed: int, axis: int) -> Column:
     """Number in [0, 1) that depends on the seed, the point id and the axis only."""
@@ -29,19 +33,28 @@ def upsample(
     """``factor`` new points per input point, uniform in the cell of the input.
 
     ``box`` is a one-row bounding box to lay the grid over; by default that of
-    the points.
+    the points. Points without finite coordinates have no cell and do not grow.
     Ids are dense from 1. Cells are counted out in runs of at most ``RUN``
-    points, dealt over all tasks, so a cell that holds most of the data does not
-    land in one task.
+    points, dealt over tasks of about ``TASK`` points each, so a cell that holds
+    most of the data does not land in one task.
     """
     bounds = bounding_box(points) if box is None else box
-    cells = grid_histogram(points, nx, ny, clamp, bounds)
-    # At most (nx + 1) * (ny + 1) rows, so a single task can number them.
-    before = Window.orderBy("cx", "cy").rowsBetween(Window.unboundedPreceding, -1)
+    cells = grid_histogram(points, nx, ny, clamp, bounds).where("cx IS NOT NULL AND cy IS NOT NULL")
     total = F.col("n") * F.lit(factor)
-    sized = cells.withColumn("total", total).withColumn(
-        "start", F.coalesce(F.sum("total").over(before), F.lit(0))
+    # Cells are numbered by range partitions; the driver sees none of them.
+    placed = written(
+        cells.withColumn("total", total).repartitionByRange("cx", "cy").withColumn("part", F.spark_partition_id()),
+        "cells",
+    )
+    parts = placed.groupBy("part").agg(F.sum("total").alias("sum"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("part", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("offset"))
+    before = Window.partitionBy("part").orderBy("cx", "cy").rowsBetween(Window.unboundedPreceding, -1)
+    sized = placed.join(F.broadcast(offsets), "part").withColumn(
+        "start", F.col("offset") + F.coalesce(F.sum("total").over(before), F.lit(0))
     )
+    # A number of its own keeps adaptive execution from merging the small counter rows.
+    tasks = max(1, -(-(placed.agg(F.sum("total")).first()[0] or 0) // TASK))
 
     def spread(df: DataFrame, count: Column, name: str) -> DataFrame:
         steps = F.sequence(F.lit(0).cast("long"), count - 1)
@@ -53,7 +66,7 @@ def upsample(
     left = F.col("total") - F.col("block") * (RUN * RUN)
     in_block = F.least(F.ceil(F.col("left") / RUN), full)
     runs = spread(blocks.withColumn("left", left), in_block, "run")
-    dealt = runs.repartition("cx", "cy", "block", "run")
+    dealt = runs.repartition(tasks, "cx", "cy", "block", "run")
     counted = spread(dealt, F.least(F.col("left") - F.col("run") * RUN, full), "i")
     numbered = counted.withColumn(
         "id", F.col("start") + F.col("block") * (RUN * RUN) + F.col("run") * RUN + F.col("i") + 1

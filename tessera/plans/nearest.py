@@ -32,7 +32,7 @@ cloudpickle.register_pickle_by_value(window_bound)
 
 # A key with fewer source rows than this needs no salting, and an input with
 # fewer rows is cheaper to compute twice than to write.
-CROWD = 1 << 18
+CROWD = 1 << 14
 
 
 def _finite() -> Column:
@@ -139,6 +139,7 @@ def _search(
     exclude_self: bool,
     unique_ids: bool,
     shape: Plane | Pivoted,
+    radius: float | None = None,
 ) -> DataFrame:
     place = ["g", *shape.columns]
     cap = max(k + 1, 8)
@@ -168,6 +169,8 @@ def _search(
         sources = packed.rows.where(F.col("r_ids").isNotNull())
         targets = packed.rows.where(F.col("s_ids").isNotNull())
         bounds = written(_bounds(packed, sources, targets, k), "bounds")
+    if radius is not None:
+        bounds = bounds.withColumn("bound", F.least("bound", F.lit(float(radius))))
 
     found = matches(packed, bounds, targets, ["rank"], ["s_ids"], _elsewhere(shape))
     if ties == "distinct":
@@ -209,6 +212,7 @@ def knn_join(
     unique_ids: bool = False,
     grouped: bool = False,
     shape: Plane | Pivoted = Plane(),
+    radius: float | None = None,
 ) -> DataFrame:
     """The ``k`` nearest rows of ``s`` for every row of ``r``, within ``g``.
 
@@ -220,7 +224,7 @@ def knn_join(
     saves the shuffles that merge repeated ids. ``grouped`` says that an id may
     occur in several groups. Rows without coordinates take no part. A NaN or
     infinite coordinate puts a row at distance NaN from everything, which sorts
-    last.
+    last. ``radius`` limits the distance.
     """
     check_ties(ties)
     if k < 1:
@@ -254,8 +258,8 @@ def knn_join(
         near_s = None if s is None else s.where(_finite())
     else:
         near_r, near_s = r, s
-    result = _search(near_r, near_s, stat["n"], box, k, ties, exclude_self, unique_ids, shape)
-    if stat["astray"]:
+    result = _search(near_r, near_s, stat["n"], box, k, ties, exclude_self, unique_ids, shape, radius)
+    if stat["astray"] and radius is None:
         astray = _astray(r, r if s is None else s, k, exclude_self)
         result = result.select("src", "dst", "dist").unionByName(astray)
         grouped = True

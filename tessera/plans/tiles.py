@@ -34,7 +34,10 @@ FAN = 16
 TOP = 64
 
 # A tile searched by at most this many source tiles needs no salting.
-BUSY = 1 << 16
+BUSY = 1 << 10
+
+# Levels with at most this many nodes go to all tasks: few keys would be few tasks.
+FEW_NODES = 1 << 12
 
 # A row costs hundreds of distances, so partitions are sized by rows, not bytes.
 ROWS_PER_TASK = 16384
@@ -102,7 +105,8 @@ class Packed:
 
     @property
     def n_tiles(self) -> int:
-        return -(-self.n_targets // self.size)
+        """Tiles of ``size`` targets; the last one also has the rest."""
+        return max(1, self.n_targets // self.size) if self.n_targets else 0
 
 
 def pack(
@@ -119,8 +123,7 @@ def pack(
 ) -> Packed:
     """Sort ``rows`` along the curve, number them and write them.
 
-    ``size`` is a power of two. ``n_rows`` is a row count, exact or too high, to size the work by; the
-    session's shuffle partitions are the most that is used.
+    ``size`` is a power of two. ``n_rows`` is a row count, exact or too high, to size the work by.
     ``target`` marks the rows that can be found; without it every row can.
     ``width`` is an integer per row whose maximum is reported as ``widest``.
     ``enrich`` adds columns while the rows pass by in curve order.
@@ -128,8 +131,7 @@ def pack(
     partitions stay even where many rows share a place.
     """
     order = ["g", "z", *shape.columns, *tie_break]
-    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(most, n_rows // ROWS_PER_TASK))
+    tasks = max(1, n_rows // ROWS_PER_TASK)
     placed = (
         with_zkey(rows, box)
         .repartitionByRange(tasks, *order)
@@ -157,6 +159,8 @@ def pack(
         F.max(F.lit(1) if width is None else width).alias("width"),
     )
     parts = sorted(per_part.collect(), key=lambda p: p["part"])
+    if any(p["n"] > _ROW_MASK for p in parts):
+        raise ValueError(f"a range partition has more than {_ROW_MASK} rows")
     starts, slots, n_rows, n_targets = [], [], 0, 0
     for p in parts:
         starts.append(n_rows)
@@ -178,7 +182,7 @@ def pack(
         table.join(F.broadcast(offsets), "part")
         .withColumn("rank", F.col("start") + F.col("row"))
         .withColumn("a", F.shiftright("rank", bits))
-        .withColumn("tile", F.shiftright(F.least(slot, F.lit(max(n_targets - 1, 0))), bits))
+        .withColumn("tile", F.least(F.shiftright(slot, bits), F.lit(max(n_targets // size - 1, 0)).cast("long")))
         .drop("part", "row", "start", "slots", "ahead")
     )
     widest = max((p["width"] or 0 for p in parts), default=0)
@@ -242,6 +246,8 @@ def tile_pairs(packed: Packed, probes: DataFrame, targets: DataFrame) -> DataFra
     box_columns = [f"{c}_{end}" for c in ("x", "y", "g") for end in ("lo", "hi")]
     for level in range(top, -1, -1):
         at_level = nodes.where(F.col("level") == level).drop("level")
+        if counts[level] <= FEW_NODES:
+            at_level = F.broadcast(at_level)
         frontier = frontier.join(at_level, "node").where(near)
         if level:
             first = F.col("node") * FAN
@@ -268,14 +274,19 @@ def matches(
     """
     shape = packed.shape
     pairs = tile_pairs(packed, probes, targets)
-    join_on = ["tile"]
+    join_on, source_on = ["tile"], ["a"]
     n_source_tiles = -(-packed.n_rows // packed.size)
-    if n_source_tiles > BUSY:
+    busy = n_source_tiles > BUSY
+    if busy:
         pairs = written(pairs, "pairs")
         hot = hot_keys(pairs, ["tile"], BUSY)
+        # Source tiles that search very many tiles are dealt out as well.
+        wide = hot_keys(pairs, ["a"], BUSY)
         pairs = deal(pairs, hot, ["tile"], ["a"])
+        pairs = deal(pairs.withColumnRenamed("_salt", "_t_salt"), wide, ["a"], ["tile"])
+        pairs = pairs.withColumnsRenamed({"_salt": "_a_salt", "_t_salt": "_salt"})
         targets = copy(targets, hot, ["tile"])
-        join_on.append("_salt")
+        join_on, source_on = ["tile", "_salt"], ["a", "_a_salt"]
 
     places = ["g", *shape.columns]
     q = probes.select(
@@ -293,7 +304,10 @@ def matches(
     ]
     within = shape.apart(*gaps) <= shape.reach(F.col("q_bound"), packed.box)
     box_columns = [f"{c}_{end}" for c in ("x", "y", "g") for end in ("lo", "hi")]
-    visits = q.repartition(packed.tasks, "a").join(pairs, "a").where(inside & within).drop("a", *box_columns)
+    if busy:
+        q = copy(q, wide, ["a"]).withColumnRenamed("_salt", "_a_salt")
+    visits = q.repartition(packed.tasks, *source_on).join(pairs, source_on).where(inside & within)
+    visits = visits.drop(*source_on, *box_columns)
     dist = shape.distance(lambda c: F.col(f"q_{c}"), lambda c: F.col(f"t_{c}"))
     wanted = (F.col("q_g") == F.col("t_g")) & (dist <= F.col("q_bound"))
     if condition is not None:

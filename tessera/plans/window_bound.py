@@ -11,9 +11,13 @@ import pyarrow as pa
 # enough to cost little.
 SPAN = 64
 
-# Covers a different order of summation than the one in the exact distance.
+# Covers a different order of summation than the one in the exact distance:
+# distances closer than this may be equal there, so they count as one here.
 SLACK = 1 + 1e-9
 
+# Distances held at a time.
+AT_ONCE = 1 << 22
+
 
 def span_for(k: int) -> int:
     """Window length for ``k``: a power of two, at least four times ``k + 1``."""
@@ -29,15 +33,45 @@ def _kth_distinct(groups: np.ndarray, points: np.ndarray, k: int) -> np.ndarray:
     ``groups`` is (windows, span), ``points`` is (windows, span, axes). Rows of
     other groups and the row itself do not count; infinite if too few are left.
     """
-    step = points[:, :, None, :] - points[:, None, :, :]
-    dist = np.sqrt((step * step).sum(axis=-1))
-    dist[groups[:, :, None] != groups[:, None, :]] = np.inf
-    own = np.arange(points.shape[1])
-    dist[:, own, own] = np.inf
-    dist.sort(axis=-1)
-    new = np.ones(dist.shape, dtype=bool)
-    new[:, :, 1:] = dist[:, :, 1:] != dist[:, :, :-1]
-    return np.where(new.cumsum(axis=-1) == k, dist, np.inf).min(axis=-1)
+    windows, span, axes = points.shape
+    found = np.empty((windows, span))
+    block = max(1, AT_ONCE // (span * axes))
+    at_once = max(1, block // span)
+    for w in range(0, windows, at_once):
+        own_groups, own = groups[w : w + at_once], points[w : w + at_once]
+        for first in range(0, span, block):
+            rows = slice(first, first + block)
+            step = own[:, rows, None, :] - own[:, None, :, :]
+            dist = np.sqrt((step * step).sum(axis=-1))
+            dist[own_groups[:, rows, None] != own_groups[:, None, :]] = np.inf
+            here = np.arange(first, min(first + block, span))
+            dist[:, here - first, here] = np.inf
+            dist.sort(axis=-1)
+            new = np.ones(dist.shape, dtype=bool)
+            new[:, :, 1:] = dist[:, :, 1:] > dist[:, :, :-1] * SLACK
+            found[w : w + at_once, rows] = np.where(new.cumsum(axis=-1) == k, dist, np.inf).min(axis=-1)
+    return found
+
+
+def _starts(groups: np.ndarray, width: int) -> np.ndarray:
+    """First rows of windows that cover all rows; a group is cut only if it is longer than a window."""
+    n = len(groups)
+    borders = np.append(np.flatnonzero(groups[1:] != groups[:-1]) + 1, n)
+    starts, at = [], 0
+    while True:
+        end = at + width
+        starts.append(min(at, n - width))
+        if end >= n:
+            return np.array(starts)
+        last = int(np.searchsorted(borders, end, side="right"))
+        begun = int(borders[last - 1]) if last else 0
+        if begun > at:
+            # The group that crosses the end starts the next window.
+            at = begun
+        else:
+            # A long group: its last window is moved back so that it is full.
+            left = int(borders[last]) - end
+            at = end - width + left if 0 < left < width else end
 
 
 def add_bound(k: int, axes: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -69,15 +103,14 @@ def add_bound(k: int, axes: list[str]) -> Callable[[Iterator[pa.RecordBatch]], I
             context = len(groups) - fresh
             bound = np.empty(len(groups))
             width = min(span, len(groups))
-            starts = np.arange(0, len(groups), width)
-            # The last window is moved back so that it is full.
-            starts[-1] = len(groups) - width
-            # As many windows at a time as keep the distances near 32 MB.
-            at_once = max(1, (1 << 22) // (width * width * points.shape[1]))
+            bound[:] = np.inf
+            starts = _starts(groups, width)
+            # As many windows at a time as keep the copied rows few.
+            at_once = max(1, AT_ONCE // (width * points.shape[1]))
             for at in range(0, len(starts), at_once):
                 rows = starts[at : at + at_once, None] + np.arange(width)
-                kth = _kth_distinct(groups[rows], points[rows], k)
-                bound[rows.ravel()] = kth.ravel()
+                # Windows may overlap; every one of them gives a valid bound.
+                np.minimum.at(bound, rows.ravel(), _kth_distinct(groups[rows], points[rows], k).ravel())
             last_groups, last_points = groups[-span:], points[-span:]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(bound[context:] * SLACK)],

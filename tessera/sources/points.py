@@ -34,8 +34,9 @@ def parse_points(
     if on_bad == "drop":
         out = out.where(good)
     elif on_bad == "fail":
-        problem = F.raise_error(F.concat(F.lit("not a point: "), F.col(value)))
-        out = out.withColumn("x", F.when(good, F.col("x")).otherwise(problem.cast("double")))
+        # A filter, as a column that raises would be pruned where it is not asked for.
+        problem = F.raise_error(F.concat(F.lit("not a point: "), F.coalesce(value, F.lit("null"))))
+        out = out.where(F.when(good, True).otherwise(problem.cast("boolean")))
     else:
         out = out.withColumns({c: F.when(good, F.col(c)) for c in ("x", "y")})
     rest = [c for c in lines.columns if c != value]

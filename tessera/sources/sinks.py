@@ -11,6 +11,9 @@ from tessera.operators.topk import neighbour_lists
 
 FORMATS = ("parquet", "json", "orc", "text")
 
+# The labels of the text report.
+SOURCE, NEIGHBOUR, DISTANCE = "SourceID:", "NeighbourID:", "+++NeighbourDistance"
+
 
 def write_neighbours(neighbours: DataFrame, path: str, format: str = "parquet") -> str:
     """Write one nested record per source; returns the path used.
@@ -41,16 +44,16 @@ def neighbour_report(neighbours: DataFrame, shown: Column | None = None) -> Data
     """
     dist = F.col("dist") if shown is None else shown
     line = F.concat(
-        F.lit("NeighbourID:"),
+        F.lit(NEIGHBOUR),
         F.col("dst").cast("string"),
-        F.lit("+++NeighbourDistance"),
+        F.lit(DISTANCE),
         dist.cast("string"),
         F.lit("\n"),
     )
     by_rank = F.sort_array(F.collect_list(F.struct("rk", line.alias("line"))))
     body = F.concat_ws("", F.transform(by_rank, lambda n: n["line"]))
     return neighbours.groupBy("src").agg(
-        F.concat(F.lit("SourceID:"), F.first("src").cast("string"), F.lit("\n"), body).alias("report")
+        F.concat(F.lit(SOURCE), F.first("src").cast("string"), F.lit("\n"), body).alias("report")
     )
 
 

@@ -6,6 +6,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -31,7 +32,7 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[bool, str]:
     spent = time.time() - start
     sql = entry.oracle_sql().get(name)
     if sql is None:
-        return True, f"{spent:6.1f} s  {len(got)} rows, no SQL"
+        return False, f"{spent:6.1f} s  {len(got)} rows, no SQL"
     start = time.time()
     expected = con.sql(sql)
     want = normal(expected.fetchall(), expected.columns)
@@ -55,7 +56,7 @@ def connect(sf_dir: str):
 
 if __name__ == "__main__":
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -63,6 +64,7 @@ if __name__ == "__main__":
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,11 +1,14 @@
+import math
 import random
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import tessera as ts
-from tessera.plans import nearest, skew, tiles
+from tessera.plans import nearest, skew, tiles, window_bound
 
 FIVE = [(1, 0, 0), (2, 3, 4), (3, 6, 8), (4, 0, 5), (5, 0, 0)]
 FIVE = [(i, float(x), float(y)) for i, x, y in FIVE]
@@ -186,3 +189,73 @@ def test_bad_arguments(points):
         ts.knn_exact(points(FIVE), ties="some")
     with pytest.raises(ValueError):
         ts.knn_exact(points(FIVE), axes="y")
+
+
+@pytest.mark.parametrize("m", [8, 16, 64])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_vectors_with_many_equal_distances(spark, m, seed):
+    """Sums in another order than Spark's differ in their last bits; no neighbour may get lost by that."""
+    rng = random.Random(seed)
+    data = [(i, [rng.choice([0.1, 0.2, 0.3, 0.7]) for _ in range(m)]) for i in range(60)]
+    df = spark.createDataFrame(data, "id bigint, v array<double>")
+
+    def dist(a, b):
+        total = 0.0
+        for p, q in zip(a, b):
+            total += (p - q) * (p - q)
+        return math.sqrt(total)
+
+    found = [(a, b, dist(v, w)) for a, v in data for b, w in data if a != b]
+    for k, ties in ((1, "distinct"), (5, "distinct"), (5, "all"), (20, "distinct")):
+        got = ts.knn_vec(df, None, k, m, ties=ties, unique_ids=True)
+        assert brute.rows(got) == brute.top_k(found, k, ties)
+
+
+def test_bounds_never_fall_below_the_kth_distance():
+    rng = np.random.default_rng(4)
+    groups = np.sort(rng.integers(0, 30, 700))
+    rows = rng.integers(0, 6, (700, 3)) / 10
+    for width in (64, 128):
+        starts = window_bound._starts(groups, width)
+        assert set((starts[:, None] + np.arange(width)).ravel()) == set(range(700))
+    batch = pa.RecordBatch.from_pydict({"g": groups, "x": rows[:, 0], "y": rows[:, 1]})
+    (out,) = window_bound.add_bound(3, ["x", "y"])(iter([batch]))
+    bound = out.column("bound").to_numpy()
+    for g in range(30):
+        own = rows[groups == g][:, :2]
+        dist = np.sqrt(((own[:, None] - own[None]) ** 2).sum(-1))
+        for i, found in enumerate(bound[groups == g]):
+            near = np.unique(np.round(np.delete(dist[i], i), 9))
+            if len(own) <= 64 and len(near) >= 3:
+                assert found >= near[2] - 1e-9 and np.isfinite(found)
+
+
+def test_bound_memory_does_not_grow_with_the_window(monkeypatch):
+    monkeypatch.setattr(window_bound, "AT_ONCE", 1000)
+    rng = np.random.default_rng(5)
+    points = rng.random((2, 90, 2))
+    groups = np.zeros((2, 90), int)
+    small = window_bound._kth_distinct(groups, points, 7)
+    monkeypatch.setattr(window_bound, "AT_ONCE", 1 << 22)
+    assert (small == window_bound._kth_distinct(groups, points, 7)).all()
+
+
+@pytest.mark.parametrize("extra", [0, 1, 2, 3])
+def test_sources_beside_the_targets_have_finite_bounds(points, monkeypatch, extra):
+    """A short last tile must not give its many sources infinite bounds."""
+    rng = random.Random(extra)
+    s = [(i, rng.random(), rng.random()) for i in range(256 + extra)]
+    r = [(i + 5000, 5 + rng.random(), 5 + rng.random()) for i in range(300)]
+    seen = []
+    real = nearest.matches
+
+    def watched(packed, bounds, *more):
+        seen.append((bounds.where("bound = double('inf')").count(), tiles.tile_pairs(packed, bounds, more[0]).count()))
+        return real(packed, bounds, *more)
+
+    monkeypatch.setattr(nearest, "matches", watched)
+    got = ts.knn_exact(points(r), points(s), 3, exclude_self=False, unique_ids=True)
+    assert brute.rows(got) == brute.top_k(brute.pairs(r, s, False), 3)
+    infinite, pairs = seen[0]
+    # 18 source tiles and 8 target tiles; sources far away need some of the region's edge.
+    assert infinite == 0 and pairs < 100

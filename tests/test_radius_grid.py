@@ -107,4 +107,30 @@ def test_box_can_be_given(points):
     box = ts.bounding_box(points([(1, 0.0, 0.0), (2, 10.0, 10.0)]))
     got = ts.grid_histogram(points([(1, 2.0, 7.0)]), 10, 10, box=box).collect()
     assert [(r.cx, r.cy, r.n) for r in got] == [(2, 7, 1)]
-    assert isinstance(F.col("x"), type(F.col("y")))
+
+
+def test_odd_rows_leave_the_cells_of_others(points):
+    nan, inf = float("nan"), float("inf")
+    data = crowded(50, 6)
+    odd = [(900, nan, 1.0), (901, 1.0, -inf), (902, None, 2.0)]
+    plain = {(r.id, r.cx, r.cy) for r in ts.grid_cells(points(data)).collect()}
+    mixed = {(r.id, r.cx, r.cy) for r in ts.grid_cells(points(data + odd)).collect()}
+    assert mixed == plain | {(i, None, None) for i, *_ in odd}
+    grown = ts.upsample(points(data + odd), 3)
+    assert sorted(map(tuple, grown.collect())) == sorted(map(tuple, ts.upsample(points(data), 3).collect()))
+
+
+def test_upsample_works_in_all_tasks(spark, points, monkeypatch):
+    monkeypatch.setattr(growing, "TASK", 1 << 16)
+    grown = ts.upsample(points([(i, float(i % 3), float(i % 2)) for i in range(100)]), 20_000)
+    rows = [r.n for r in grown.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(rows) == 2_000_000 and len(rows) >= 8 and max(rows) < 500_000
+
+
+def test_capped_at_a_crowded_place(points):
+    data = [(i, 1.0, 1.0) for i in range(20_000)] + [(30_000, 1.0, 1.5)]
+    found = ts.radius_join_capped(points(data), None, 1.0, 3).where("src IN (0, 1, 30000)")
+    assert brute.rows(found) == {
+        (0, 0, 0.0, 1), (0, 1, 0.0, 2), (0, 2, 0.0, 3), (1, 0, 0.0, 1), (1, 1, 0.0, 2), (1, 2, 0.0, 3),
+        (30_000, 30_000, 0.0, 1), (30_000, 0, 0.5, 2), (30_000, 1, 0.5, 3),
+    }

@@ -5,6 +5,7 @@ import brute
 import pytest
 
 import tessera as ts
+from tessera.operators import rings
 
 
 def test_stats_and_replicas(points):
@@ -40,13 +41,13 @@ def ring_pairs(data, k, rings=None, boundary="fraction"):
 
 
 @pytest.mark.parametrize("boundary", ["fraction", "relative"])
-@pytest.mark.parametrize("rings", [None, 3])
-def test_equals_pairs_of_shared_rings(points, boundary, rings):
+@pytest.mark.parametrize("n_rings", [None, 3])
+def test_equals_pairs_of_shared_rings(points, boundary, n_rings):
     rng = random.Random(11)
     data = [(i, rng.uniform(-9, 9), rng.uniform(0, 40)) for i in range(250)]
     data += [(i + 1000, 3.0, 4.0) for i in range(125)]
-    got = ts.knn_ring(points(data), 4, rings, boundary, unique_ids=True)
-    assert brute.rows(got) == brute.top_k(ring_pairs(data, 4, rings, boundary), 4)
+    got = ts.knn_ring(points(data), 4, n_rings, boundary, unique_ids=True)
+    assert brute.rows(got) == brute.top_k(ring_pairs(data, 4, n_rings, boundary), 4)
 
 
 def test_ring_distances_are_never_below_exact(points):
@@ -88,3 +89,25 @@ def test_degenerate(points, data):
 def test_bad_boundary(points):
     with pytest.raises(ValueError):
         ts.ring_assign(points([(1, 0.0, 0.0)]), boundary="other")
+
+
+def test_odd_rows_leave_the_rings_of_others(points):
+    nan, inf = float("nan"), float("inf")
+    rng = random.Random(21)
+    data = [(i, rng.uniform(0, 50), rng.uniform(0, 50)) for i in range(120)]
+    odd = [(900, nan, 1.0), (901, 1.0, inf), (902, None, 2.0), (903, -inf, nan), (904, 1e200, 1e200)]
+    plain = {(r.id, r.home) for r in ts.ring_assign(points(data)).collect()}
+    mixed = {(r.id, r.home) for r in ts.ring_assign(points(data + odd)).collect()}
+    assert {r for r in mixed if r[0] < 900} == plain
+    assert {r for r in mixed if r[0] >= 900} == {(900, None), (901, None), (903, None), (904, None)}
+    assert tuple(ts.point_stats(points(data + odd)).first()) == tuple(ts.point_stats(points(data)).first())
+    near = {r for r in brute.rows(ts.knn_ring(points(data + odd), 4)) if r[0] < 900 and r[2] != "NaN"}
+    assert near == brute.rows(ts.knn_ring(points(data), 4))
+
+
+@pytest.mark.parametrize("small", [4, 64, 10_000])
+def test_small_and_large_rings_agree(points, monkeypatch, small):
+    monkeypatch.setattr(rings, "SMALL_RING", small)
+    rng = random.Random(22)
+    data = [(i, rng.uniform(0, 9), rng.uniform(0, 9)) for i in range(200)] + [(i + 500, 1.0, 1.0) for i in range(80)]
+    assert brute.rows(ts.knn_ring(points(data), 4)) == brute.top_k(ring_pairs(data, 4), 4)

@@ -8,7 +8,7 @@ from tessera.__main__ import arguments, run
 from tessera.plans import cut
 
 LINES = [
-    "42889*;*(40.760265, -73.989105, 'Italian', '217', '291', 'Ristorante Da Rosina')",
+    "5310*;*(12.125, -7.0625, 'Bakery', '40', '8', 'Corner Bread')",
     "1*;*(40.5,-73.9,,,",
     "7*;*( 1.5 ,  2.5 , 'A')",
     "8*;*(1, 2, 'A*B')",
@@ -25,12 +25,12 @@ def text(tmp_path, lines, name="in.txt"):
 def test_both_line_formats(spark, tmp_path):
     got = ts.read_points(spark, text(tmp_path, LINES)).collect()
     assert [(r.id, r.x, r.y) for r in got] == [
-        (42889, 40.760265, -73.989105),
+        (5310, 12.125, -7.0625),
         (1, 40.5, -73.9),
         (7, 1.5, 2.5),
         (8, 1.0, 2.0),
     ]
-    assert got[0].attrs == [" 'Italian'", " '217'", " '291'", " 'Ristorante Da Rosina'"]
+    assert got[0].attrs == [" 'Bakery'", " '40'", " '8'", " 'Corner Bread'"]
 
 
 def test_bad_lines(spark, tmp_path):
@@ -38,8 +38,10 @@ def test_bad_lines(spark, tmp_path):
     assert ts.read_points(spark, path, "drop").count() == 4
     kept = ts.read_points(spark, path, "keep").collect()
     assert len(kept) == 8 and all(r.x is None and r.y is None for r in kept[4:])
-    with pytest.raises(Exception, match="not a point"):
-        ts.read_points(spark, path).collect()
+    bad = ts.read_points(spark, path)
+    for act in (bad.collect, bad.count, bad.select("id").collect, bad.select("y").collect):
+        with pytest.raises(Exception, match="not a point: "):
+            act()
     with pytest.raises(ValueError):
         ts.read_points(spark, path, "ignore")
 
@@ -91,6 +93,8 @@ def test_command_line(spark, tmp_path):
     assert spark.read.json(glob.glob(f"{tmp_path}/ring*")[0]).count() > 50
     go("brute", path, str(tmp_path / "brute"), "--axes", "x", "--keep-self")
     assert spark.read.text(str(tmp_path / "brute")).where("value like 'SourceID%'").count() == 100
+    go("exact", path, str(tmp_path / "both"), "--targets", text(tmp_path, lines[:3], "s.txt"), "--format", "json")
+    assert spark.read.json(glob.glob(f"{tmp_path}/both*")[0]).select("neighbours.dst").distinct().count() <= 100
     go("radius", path, str(tmp_path / "radius"), "--radius", "0.5")
     assert spark.read.parquet(str(tmp_path / "radius")).count() == 100 - 1 + 1
     go("upsample", path, str(tmp_path / "grown"), "--factor", "2")
@@ -102,5 +106,9 @@ def test_cuts_go_to_the_shared_folder(spark):
     assert cut.folder(spark) == shared
     table = cut.written(spark.range(3), "try")
     assert table.count() == 3 and shared in table.inputFiles()[0]
+    with ts.Tables() as own:
+        other = cut.written(spark.range(4), "other")
+    own.release(spark)
+    assert table.count() == 3 and not glob.glob(f"{shared}/tessera-other-*") and other is not None
     cut.release(spark)
     assert not glob.glob(f"{shared}/tessera-try-*")
