@@ -12,7 +12,7 @@
    shard; its windows are hashed and counted one by one instead, which is exact too.
 4. Mark. Windows found go back to all segments of their content, and to texts.
 
-Anchors and contents are compared by 64 and 128-bit hashes, bytes in shards as they are.
+Anchors are compared by 64-bit hashes, contents by 64 bits more, bytes in shards as they are.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` keep all;
 repeated rows are places of their own; an empty table gives an empty table. A
@@ -37,19 +37,22 @@ from tessera.plans.cut import written
 
 LENGTH, GRAM = 400, 32
 #: Bytes of a shard, and contents of an anchor that still go to one.
-SHARD, HOT = 4_000_000, 2048
+SHARD, HOT = 2_000_000, 1024
 #: Bytes that are cut at once.
-BUFFER = 2_000_000
+BUFFER = 1_000_000
 
 # Odd multipliers of the rolling hash.
 _STEP, _MIX = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD
 _MASK = (1 << 64) - 1
 
 
-def _keys(docs: DataFrame) -> list[Column]:
-    """Two 64-bit keys of a row. Rows of equal keys are equal, and so are their spans."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return [F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit(1), *columns).alias("k2")]
+#: What a row is known by: a hash of all its columns, and its text's bytes. Equal rows have equal spans.
+KEYS = ["key", "size"]
+
+
+def _keys(docs: DataFrame, text: str) -> list[Column]:
+    size = F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0))
+    return [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("key"), size.alias("size")]
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -92,11 +95,11 @@ def cut(data: np.ndarray, sizes: np.ndarray, length: int, gram: int) -> tuple[np
     return hashes[anchor[first]].view(np.int64), text[first], first - (ends - sizes)[text[first]], windows
 
 
-SEGMENTS = "k1 long, k2 long, anchor long, c1 long, c2 long, first int, windows int, run int"
+SEGMENTS = "key long, size int, anchor long, content long, first int, windows int, run int"
 
 
 def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """``SEGMENTS`` of ``k1, k2, text``; ``run`` windows of equal bytes in a row are one row."""
+    """``SEGMENTS`` of ``key, size, text``; ``run`` windows of equal bytes in a row are one row."""
 
     def flush(keys: list, texts: list[bytes]) -> pa.RecordBatch:
         joined = b"".join(texts)
@@ -104,28 +107,30 @@ def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
         anchor, text, first, windows = cut(np.frombuffer(joined, np.uint8), sizes, length, gram)
         starts = (np.cumsum(sizes) - sizes)[text] + first
         whole = memoryview(joined)
-        digests = b"".join(
-            xxhash.xxh3_128_digest(whole[s:e]) for s, e in zip(starts.tolist(), (starts + windows + length - 1).tolist())
-        )
-        c1, c2 = np.frombuffer(digests, "<i8").reshape(-1, 2).T
+        content = np.array(
+            [xxhash.xxh3_64_intdigest(whole[s:e]) for s, e in zip(starts.tolist(), (starts + windows + length - 1).tolist())],
+            np.uint64,
+        ).view(np.int64)
         again = np.zeros(len(first), bool)
-        again[1:] = (c1[1:] == c1[:-1]) & (c2[1:] == c2[:-1]) & (starts[1:] == starts[:-1] + 1) & (text[1:] == text[:-1])
+        again[1:] = (content[1:] == content[:-1]) & (starts[1:] == starts[:-1] + 1) & (text[1:] == text[:-1])
         again &= windows == 1
         head = np.flatnonzero(~again)
         run = np.diff(np.append(head, len(first)))
-        own = np.array(keys, np.int64).reshape(-1, 2)[text[head]]
-        columns = [own[:, 0], own[:, 1], anchor[head], c1[head], c2[head]]
-        small = [first[head], windows[head], run]
-        arrays = [pa.array(np.ascontiguousarray(c)) for c in columns] + [pa.array(c.astype(np.int32)) for c in small]
-        return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in SEGMENTS.split(", ")])
+        own = text[head]
+        columns = [np.array(keys, np.int64)[own], anchor[head], content[head]]
+        small = [sizes[own], first[head], windows[head], run]
+        key, anchor, content = (pa.array(np.ascontiguousarray(c)) for c in columns)
+        size, first, windows, run = (pa.array(c.astype(np.int32)) for c in small)
+        names = [c.split()[0] for c in SEGMENTS.split(", ")]
+        return pa.RecordBatch.from_arrays([key, size, anchor, content, first, windows, run], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, texts, held = [], [], 0
         for batch in batches:
-            for k1, k2, text in zip(*(batch.column(c) for c in ("k1", "k2", "text"))):
+            for key, text in zip(batch.column("key"), batch.column("text")):
                 own = (text.as_py() or "").encode()
                 if len(own) >= length:
-                    keys.append((k1.as_py(), k2.as_py()))
+                    keys.append(key.as_py())
                     texts.append(own)
                     held += len(own)
                     if held >= BUFFER:
@@ -137,99 +142,110 @@ def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.mapInArrow(run, SEGMENTS)
 
 
-def _windows(part: np.ndarray, length: int) -> np.ndarray:
-    """64-bit hashes of all windows of one segment."""
-    whole = memoryview(part.tobytes())
-    return np.array([xxhash.xxh3_64_intdigest(whole[i : i + length]) for i in range(len(part) - length + 1)], np.uint64)
-
-
-def repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """``k1, k2, spans``: for rows with repeated bytes, the windows' spans (first byte, bytes), not merged."""
-    rows = docs.select(*_keys(docs), F.col(f"`{text}`").alias("text"))
-    content = ["anchor", "c1", "c2"]
-    held = written(segments(rows, length, gram), "segments")
+def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
+    """``key, size, spans`` of ``rows`` (``KEYS, doc, text``) with repeated bytes: the windows' spans, not merged."""
+    content = ["anchor", "content"]
+    held = written(segments(rows.select(*KEYS, "text"), length, gram), "segments")
+    # Most anchors stand once and go no further.
+    again = held.groupBy("anchor").agg(F.sum("run").alias("n")).where("n > 1").select("anchor")
+    pool = written(held.join(again, "anchor", "left_semi"), "repeated-anchors")
     contents = written(
-        held.groupBy(*content).agg(
-            F.sum("run").alias("places"),
-            F.min(F.struct("k1", "k2", "first", "windows")).alias("owner"),
+        pool.groupBy(*content).agg(
+            F.sum("run").alias("places"), F.min(F.struct(*KEYS, "first", "windows")).alias("owner")
         ),
         "contents",
     )
-    several = contents.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1")
-    several = several.select("anchor", (F.col("contents") > hot).alias("hot"))
-    asked = contents.join(several, "anchor").select(*content, "hot", "owner.*")
-    # One text's segments that are to be sorted; they are bounded by the text.
-    asked = asked.groupBy("k1", "k2").agg(
-        F.collect_list(F.struct(*content, "hot", "first", "windows")).alias("segments")
-    )
+    # Anchors with several contents, of which some stand once.
+    several = contents.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if(F.col("places") == 1).alias("once"))
+    several = several.where("n > 1 AND once > 0").select("anchor", (F.col("n") > hot).alias("hot"))
+    asked = written(contents.join(several, "anchor").select(*content, "hot", "owner.*"), "asked")
+    sums = asked.agg(
+        F.sum(F.when(~F.col("hot"), F.col("windows") + (length - 1))).alias("size"), F.count_if("hot").alias("hot")
+    ).first()
+    shards = max(1, -(-(sums["size"] or 0) // SHARD))
+
+    def brought(of: DataFrame, function, schema: str) -> DataFrame:
+        # One text's segments are bounded by the text. ``doc`` comes along unread, so that
+        # this exchange of texts is the one that ``removed`` needs, and is made once.
+        lists = of.groupBy(*KEYS).agg(F.collect_list(F.struct(*content, "first", "windows")).alias("segments"))
+        return rows.join(lists, KEYS).select("doc", "text", "segments").mapInArrow(function, schema)
+
+    def parts(batch: pa.RecordBatch) -> Iterator[tuple[dict, np.ndarray]]:
+        for text, own in zip(batch.column("text"), batch.column("segments")):
+            data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
+            for s in own.as_py():
+                yield s, data[s["first"] : s["first"] + s["windows"] + length - 1]
 
     def bring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*content, "hot", "windows", "data", "hashes"]
-        types = [*[pa.int64()] * 3, pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+        made = []
+
+        def table() -> pa.RecordBatch:
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*made), types)], [*content, "windows", "data"]
+            )
+
         for batch in batches:
-            made = []
-            for own_text, own in zip(batch.column("text"), batch.column("segments").to_pylist()):
-                data = np.frombuffer((own_text.as_py() or "").encode(), np.uint8)
-                for s in own:
-                    part = data[s["first"] : s["first"] + s["windows"] + length - 1]
-                    hashes = _windows(part, length).view(np.int64) if s["hot"] else None
-                    kept = None if s["hot"] else part.tobytes()
-                    made.append((*(s[c] for c in content), s["hot"], s["windows"], kept, hashes))
-            if made:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), types)], names)
-
-    # Equal rows bring the same; contents are told apart again below.
-    brought = written(
-        rows.join(asked, ["k1", "k2"]).select("text", "segments").mapInArrow(
-            bring,
-            "anchor long, c1 long, c2 long, hot boolean, windows int, data binary, hashes array<long>",
-        ),
-        "contested",
-    )
-    size = brought.agg(F.sum(F.length("data"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD))
+            for s, part in parts(batch):
+                made.append((s["anchor"], s["content"], s["windows"], part.tobytes()))
+                if len(made) >= 2048:
+                    yield table()
+                    made = []
+        if made:
+            yield table()
 
     def sort(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        # Equal rows have brought the same.
         own = own.drop_duplicates(content)
-        data = np.frombuffer(b"".join(own["data"]), np.uint8).astype(np.int64)
         sizes = own["data"].map(len).to_numpy()
         at = np.cumsum(sizes) - sizes
-        valid = np.zeros(len(data), bool)
+        valid = np.zeros(int(sizes.sum()), bool)
         for first, windows in zip(at, own["windows"]):
             valid[first : first + windows] = True
-        found = suffixes.repeated(data, valid, length)
-        return _marked(own, [found[first : first + windows] for first, windows in zip(at, own["windows"])])
-
-    def _marked(own: pd.DataFrame, marks: list[np.ndarray]) -> pd.DataFrame:
-        spans = [_spans(m) for m in marks]
+        found = suffixes.repeated(np.frombuffer(b"".join(own["data"]), np.uint8), valid, length)
+        spans = [_spans(found[first : first + windows]) for first, windows in zip(at, own["windows"])]
         made = own[content].assign(spans=[[{"at": int(a), "n": int(n)} for a, n in s] for s in spans])
         return made[[len(s) > 0 for s in spans]]
 
-    marked = "anchor long, c1 long, c2 long, spans array<struct<at:int,n:int>>"
+    marked = "anchor long, content long, spans array<struct<at:int,n:int>>"
     by_shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
-    sorted_ones = brought.where("NOT hot").select(*content, "windows", "data", by_shard)
-    sorted_ones = sorted_ones.groupBy("shard").applyInPandas(sort, marked)
-    hot_ones = brought.where("hot").select(*content, F.posexplode("hashes").alias("at", "hash")).distinct()
-    twice = hot_ones.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    hot_ones = hot_ones.join(twice, "hash").select(
-        *content, F.array(F.struct(F.col("at").alias("at"), F.lit(1).alias("n"))).alias("spans")
-    )
-    hot_ones = hot_ones.groupBy(*content).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    data = brought(asked.where("NOT hot"), bring, "anchor long, content long, windows int, data binary")
+    found = data.select("*", by_shard).groupBy("shard").applyInPandas(sort, marked)
+    if sums["hot"]:
+
+        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for s, part in parts(batch):
+                    n, whole = len(part) - length + 1, memoryview(part.tobytes())
+                    hashes = np.array([xxhash.xxh3_64_intdigest(whole[i : i + length]) for i in range(n)], np.uint64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([s["anchor"]] * n, pa.int64()),
+                            pa.array([s["content"]] * n, pa.int64()),
+                            pa.array(np.arange(n, dtype=np.int32)),
+                            pa.array(hashes.view(np.int64)),
+                        ],
+                        [*content, "at", "hash"],
+                    )
+
+        windows = brought(asked.where("hot"), hashed, "anchor long, content long, at int, hash long")
+        windows = written(windows.distinct(), "windows")
+        twice = windows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+        of_hot = windows.join(twice, "hash", "left_semi").groupBy(*content).agg(
+            F.collect_list(F.struct(F.col("at").alias("at"), F.lit(1).alias("n"))).alias("spans")
+        )
+        found = found.unionByName(of_hot)
+    # Contents that stand twice are repeated as a whole; the others where another content has the same.
     whole = F.array(F.struct(F.lit(0).alias("at"), F.col("owner.windows").alias("n")))
-    copied = contents.where("places > 1").select(*content, whole.alias("spans"))
-    several_once = contents.where("places = 1").select(*content)
-    found = copied.unionByName(
-        sorted_ones.unionByName(hot_ones).join(several_once, content, "left_semi")
+    found = contents.where("places > 1").select(*content, whole.alias("spans")).unionByName(
+        found.join(contents.where("places = 1").select(*content), content, "left_semi")
     )
     # A span of n windows covers n + length - 1 bytes; a run has its span at each of its places.
-    places = held.join(found, content).select(
-        "k1",
-        "k2",
-        F.transform(
-            "spans", lambda s: F.struct((F.col("first") + s["at"]).alias("at"), (s["n"] + F.col("run") + length - 2).alias("n"))
-        ).alias("spans"),
+    covered = F.transform(
+        "spans", lambda s: F.struct((F.col("first") + s["at"]).alias("at"), (s["n"] + F.col("run") + length - 2).alias("n"))
     )
-    return places.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    places = pool.join(found, content).select(*KEYS, covered.alias("spans"))
+    return places.groupBy(*KEYS).agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _spans(marks: np.ndarray) -> np.ndarray:
@@ -264,10 +280,9 @@ def removed(
 
     ``kept`` are the remaining bytes, or as text what they spell without broken characters.
     """
-    spans = repeats(docs, text, length, gram, hot)
     carried = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)])
-    rows = docs.select(carried.alias("doc"), *_keys(docs), F.col(f"`{text}`").alias("text"))
-    joined = rows.join(spans, ["k1", "k2"], "left").select("doc", "text", "spans")
+    rows = docs.select(*_keys(docs, text), carried.alias("doc"), F.col(f"`{text}`").alias("text"))
+    joined = rows.join(repeats(rows, length, gram, hot), KEYS, "left").select("doc", "text", "spans")
     kind = (T.StringType(), pa.string()) if as_text else (T.BinaryType(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

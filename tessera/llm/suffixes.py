@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Entries of all queues that are held in memory.
-MEMORY = 1 << 22
+MEMORY = 1 << 20
 #: Reduced strings up to this length are sorted in memory.
 BASE = 1 << 22
 _FAR = np.int64(1) << 40
@@ -88,10 +88,10 @@ class Text:
     def __init__(self, chars: np.ndarray):
         self.chars, self.n = chars, len(chars)
         self.size = int(chars.max(initial=0)) + 1
-        ends = np.append(chars[:-1] != chars[1:], True)
-        at = np.flatnonzero(ends)
-        last = at[np.searchsorted(at, np.arange(self.n))]
-        self.run = last - np.arange(self.n) + 1
+        self.chars = chars = chars.astype(np.uint8 if self.size <= 256 else np.int64)
+        ends = np.flatnonzero(np.append(chars[:-1] != chars[1:], True))
+        last = np.repeat(ends, np.diff(ends, prepend=-1))
+        self.run = (last - np.arange(self.n) + 1).astype(np.int32)
         rises = np.append(chars[:-1] < chars[1:], False)
         self.is_s = rises[last]
         self.lms = np.flatnonzero(self.is_s[1:] & ~self.is_s[:-1]) + 1
@@ -138,7 +138,8 @@ def _scan(text: Text, queue: Queue, since: np.ndarray, positions: np.ndarray, pr
     before = positions - 1
     putting = np.flatnonzero((before >= 0) & (text.is_s[np.maximum(before, 0)] == s_type))
     chars = text.chars[before[putting]]
-    order = np.argsort(chars, kind="stable")
+    # Few characters sort fast as short numbers.
+    order = np.argsort(chars.astype(np.uint16) if text.size <= 1 << 16 else chars, kind="stable")
     chars, putting = chars[order], putting[order]
     starts = np.flatnonzero(np.append(True, chars[1:] != chars[:-1])) if len(chars) else np.empty(0, np.int64)
     old = since.copy()
@@ -160,7 +161,7 @@ def induced(text: Text, seeds: np.ndarray, prefixes: np.ndarray, memory: int = M
     larger, smaller = Queue(memory), Queue(memory)
     present = np.unique(text.chars)
     since = np.full(text.size, -1, np.int64)
-    cut = np.searchsorted(text.chars[seeds], np.append(present, text.size))
+    cut = np.append(np.searchsorted(text.chars[seeds], present), len(seeds))
     last = text.n - 1
     larger.put(int(text.chars[last]), np.array([last]), np.array([0]))
     since[text.chars[last]] = _FAR
@@ -205,8 +206,9 @@ def doubled(names: np.ndarray, reach: int) -> np.ndarray:
     while True:
         key = rank * (n + 1)
         key[: n - step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
-        new = np.append(0, np.cumsum(key[order][1:] != key[order][:-1]))
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(0, np.cumsum(key[1:] != key[:-1]))
         rank = np.empty(n, np.int64)
         rank[order] = new
         step *= 2
@@ -226,14 +228,16 @@ def sorted_lms(text: Text, reach: int, memory: int = MEMORY, base: int = BASE) -
     order = np.concatenate(parts[::-1])
     # Equal substrings get equal names; the last one ends with the text and is unlike any other.
     length = np.diff(np.append(lms, text.n)) + 1
-    size = length[np.searchsorted(lms, order)]
+    number = np.zeros(text.n, np.int64)
+    number[lms] = np.arange(len(lms))
+    size = length[number[order]]
     a, b = order[:-1], order[1:]
     same = (size[:-1] == size[1:]) & (a != lms[-1]) & (b != lms[-1])
     equal = np.zeros(len(a), bool)
     equal[same] = text.common(a[same], b[same], size[:-1][same]) == size[:-1][same]
     name = np.append(0, np.cumsum(~equal))
     names = np.empty(len(lms), np.int64)
-    names[np.searchsorted(lms, order)] = name
+    names[number[order]] = name
     if name[-1] == len(lms) - 1:
         return order
     # A name stands for two characters or more.
