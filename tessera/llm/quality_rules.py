@@ -149,8 +149,10 @@ def cascade(rules: list[Rule], text: Column, w: Column) -> Column:
 def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
     """One row per document: ``doc`` and ``rejected_by`` (null where it is kept)."""
     order = estimate(docs, rules or RULES, text)
-    rows = _prepared(docs, text)
-    return rows.select("doc", cascade(order, F.col("text"), F.col("w")).alias("rejected_by"))
+    rows = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    # The words are bound inside the expression, so that a filter on it computes them once.
+    verdict = let(words(F.col("text")), lambda w: cascade(order, F.col("text"), w))
+    return rows.select("doc", verdict.alias("rejected_by"))
 
 
 def measure(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
