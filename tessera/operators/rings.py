@@ -98,6 +98,37 @@ def ring_replicas(
     return assigned.withColumn("ring", F.explode_outer(F.array_compact(rings))).drop("key", "home", "fr")
 
 
+def _met() -> Column:
+    """The members of ``ring`` other than ``s``, with their distances from it."""
+    s = F.col("s")
+    same = lambda t: (t["id"] == s["id"]) & (t["x"] == s["x"]) & (t["y"] == s["y"])
+    return F.transform(
+        F.filter("ring", lambda t: ~same(t)),
+        lambda t: F.struct(euclidean(s["x"], s["y"], t["x"], t["y"]).alias("dist"), t["id"].alias("dst")),
+    )
+
+
+def _first(near: Column, k: int, ties: str) -> Column:
+    """The ``k`` first of the neighbours ``near`` (dist, dst) of one source."""
+    ordered = F.sort_array(F.array_distinct(near))
+    if ties == "all":
+        return F.slice(ordered, 1, k)
+    # Of equal distances only the smallest id stays.
+
+    def pick(one: Column) -> Column:
+        return F.aggregate(
+            one,
+            F.slice(one, 1, 0),
+            lambda got, n: F.when(
+                (F.size(got) < k) & ~F.coalesce(F.get(got, F.size(got) - 1)["dist"] == n["dist"], F.lit(False)),
+                F.concat(got, F.array(n)),
+            ).otherwise(got),
+        )
+
+    # Bound to a name, so that the sorted array is computed once.
+    return F.get(F.transform(F.array(ordered), pick), F.lit(0))
+
+
 # Rings of at most so many rows are met row by row; larger ones go through tiles.
 SMALL_RING = 64
 
@@ -130,20 +161,28 @@ def knn_ring(
     sizes = copies.groupBy("g").agg(F.count("*").alias("n"), F.count_if(astray).alias("astray"))
     sized = written(copies.join(sizes, "g"), "rings")
     most = sized.agg(F.max("n").alias("n"), F.max("astray").alias("astray")).first()
-    small = (F.col("n") <= SMALL_RING) & ~astray
-    a = sized.where(small).select("g", F.col("id").alias("src"), F.col("x").alias("ax"), F.col("y").alias("ay"))
-    b = sized.where(small).select("g", F.col("id").alias("dst"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    same = (F.col("src") == F.col("dst")) & (F.col("ax") == F.col("bx")) & (F.col("ay") == F.col("by"))
-    dist = euclidean(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
-    found = a.join(b, "g").where(~same).select("src", "dst", dist.alias("dist"))
-    if (most["n"] or 0) > SMALL_RING or most["astray"]:
-        # Rows without a place are within reach of all others, so then all take part.
-        larger = sized if most["astray"] else sized.where(F.col("n") > SMALL_RING)
-        searched = knn_join(
-            larger.select("id", "x", "y", "g"), None, k, ties=ties, unique_ids=unique_ids, grouped=True
-        )
-        found = searched.select("src", "dst", "dist").unionByName(found)
-    found = top_k(found.distinct() if ties == "all" else found, k, ties)
+    # At most SMALL_RING members each, so a ring fits a row.
+    rings = sized.where((F.col("n") <= SMALL_RING) & ~astray).groupBy("g").agg(
+        F.collect_list(F.struct("id", "x", "y")).alias("ring")
+    )
+    sources = rings.select(F.explode("ring").alias("s"), "ring")
+    inside = sources.select(F.col("s.id").alias("src"), _first(_met(), k, ties).alias("near"))
+    larger = (most["n"] or 0) > SMALL_RING or most["astray"]
+    if unique_ids and not larger:
+        # A point has three rings at most.
+        lists = inside.groupBy("src").agg(F.flatten(F.collect_list("near")).alias("near"))
+        found = lists.select("src", F.posexplode(_first(F.col("near"), k, ties)).alias("rk", "n"))
+        found = found.select("src", "n.dst", "n.dist", (F.col("rk") + 1).alias("rk"))
+    else:
+        found = inside.select("src", F.inline("near")).select("src", "dst", "dist")
+        if larger:
+            # Rows without a place are within reach of all others, so then all take part.
+            more = sized if most["astray"] else sized.where(F.col("n") > SMALL_RING)
+            searched = knn_join(
+                more.select("id", "x", "y", "g"), None, k, ties=ties, unique_ids=unique_ids, grouped=True
+            )
+            found = searched.select("src", "dst", "dist").unionByName(found)
+        found = top_k(found.distinct() if ties == "all" else found, k, ties)
     if keep_empty:
         ids = points.select(F.col("id").alias("src")).distinct()
         found = ids.join(found, "src", "left")
