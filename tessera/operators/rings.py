@@ -109,28 +109,29 @@ def _met() -> Column:
 
 
 def _first(near: Column, k: int, ties: str) -> Column:
-    """The ``k`` first of the neighbours ``near`` (dist, dst) of one source."""
-    ordered = F.sort_array(F.array_distinct(near))
-    if ties == "all":
-        return F.slice(ordered, 1, k)
-    # Of equal distances only the smallest id stays.
+    """The ``k`` first of the neighbours ``near`` (dist, dst) of one source.
 
-    def pick(one: Column) -> Column:
+    Of equal distances only the smallest id stays, or with ``ties="all"`` each id once.
+    """
+
+    def again(got: Column, n: Column) -> Column:
+        last = F.get(got, F.size(got) - 1)
+        same = last["dist"] == n["dist"]
+        return F.coalesce(same if ties == "distinct" else same & (last["dst"] == n["dst"]), F.lit(False))
+
+    def pick(ordered: Column) -> Column:
         return F.aggregate(
-            one,
-            F.slice(one, 1, 0),
-            lambda got, n: F.when(
-                (F.size(got) < k) & ~F.coalesce(F.get(got, F.size(got) - 1)["dist"] == n["dist"], F.lit(False)),
-                F.concat(got, F.array(n)),
-            ).otherwise(got),
+            ordered,
+            F.slice(ordered, 1, 0),
+            lambda got, n: F.when((F.size(got) < k) & ~again(got, n), F.concat(got, F.array(n))).otherwise(got),
         )
 
     # Bound to a name, so that the sorted array is computed once.
-    return F.get(F.transform(F.array(ordered), pick), F.lit(0))
+    return F.get(F.transform(F.array(F.sort_array(near)), pick), F.lit(0))
 
 
 # Rings of at most so many rows are met row by row; larger ones go through tiles.
-SMALL_RING = 64
+SMALL_RING = 1024
 
 
 def knn_ring(
