@@ -37,7 +37,7 @@ from tessera.plans.cut import written
 
 LENGTH, GRAM = 400, 32
 #: Bytes of a shard, and contents of an anchor that still go to one.
-SHARD, HOT = 2_000_000, 1024
+SHARD, HOT = 1_000_000, 1024
 #: Bytes that are cut at once.
 BUFFER = 1_000_000
 
@@ -147,7 +147,9 @@ def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
     content = ["anchor", "content"]
     held = written(segments(rows.select(*KEYS, "text"), length, gram), "segments")
     # Most anchors stand once and go no further.
+    # (Grouped tables are written before they are joined, so that a hot anchor's join can be split.)
     again = held.groupBy("anchor").agg(F.sum("run").alias("n")).where("n > 1").select("anchor")
+    again = written(again, "anchors")
     pool = written(held.join(again, "anchor", "left_semi"), "repeated-anchors")
     contents = written(
         pool.groupBy(*content).agg(
@@ -158,6 +160,7 @@ def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
     # Anchors with several contents, of which some stand once.
     several = contents.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if(F.col("places") == 1).alias("once"))
     several = several.where("n > 1 AND once > 0").select("anchor", (F.col("n") > hot).alias("hot"))
+    several = written(several, "several")
     asked = written(contents.join(several, "anchor").select(*content, "hot", "owner.*"), "asked")
     sums = asked.agg(
         F.sum(F.when(~F.col("hot"), F.col("windows") + (length - 1))).alias("size"), F.count_if("hot").alias("hot")
