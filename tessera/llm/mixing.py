@@ -86,7 +86,8 @@ def position(demand: Column, target: Column, start: Column, end: Column) -> Colu
 def demanded(docs: DataFrame, columns: list[str] | None = None, source: str = "source", text: str = "text") -> DataFrame:
     """Each document with its source's figures and the words before it in its source.
 
-    ``doc`` (a struct of ``columns``, by default all), ``size, source_size, target, class, before``.
+    ``doc`` (a struct of ``columns``, by default all), ``key`` (a hash of the row),
+    ``size, source_size, target, class, before``.
     """
     carried = F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("doc")
     key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
@@ -109,6 +110,7 @@ def demanded(docs: DataFrame, columns: list[str] | None = None, source: str = "s
     inside = W.partitionBy("src", "bucket").orderBy("key").rowsBetween(W.unboundedPreceding, -1)
     return rows.join(firsts, ["src", "bucket"]).select(
         "doc",
+        "key",
         "size",
         "source_size",
         "target",
@@ -137,8 +139,9 @@ def mix(docs: DataFrame, columns: list[str] | None = None, source: str = "source
     )
     rows = rows.withColumn("taken", taken)
     rows = rows.withColumn("position", F.when(F.col("taken") > 0, _position(F.col("before"))))
-    return rows.select("doc", "size", "source_size", "target", "taken", "position").orderBy(
-        F.col("position").asc_nulls_last()
+    # The key deals equal positions, and the many rows without one, over several ranges.
+    return rows.orderBy(F.col("position").asc_nulls_last(), "key").select(
+        "doc", "size", "source_size", "target", "taken", "position"
     )
 
 
@@ -151,4 +154,4 @@ def mixed_copies(docs: DataFrame, source: str = "source", text: str = "text") ->
     copy = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))))
     demand = F.col("epoch") * F.col("source_size") + F.col("before")
     taken = copy.where((F.col("size") > 0) & (demand + F.col("size") / 2 <= F.col("target")))
-    return taken.withColumn("position", _position(demand)).orderBy("position").select("doc.*")
+    return taken.withColumn("position", _position(demand)).orderBy("position", "key").select("doc.*")
