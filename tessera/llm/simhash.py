@@ -251,7 +251,8 @@ def groups(rows: DataFrame, bits: int = BITS) -> DataFrame:
     rooted = classes.join(found, classes["fp"] == found["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Written, so that the join of a component with very many classes can be split.
+    ids = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
     return rows.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
 
 
