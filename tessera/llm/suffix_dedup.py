@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import suffixes
-from tessera.plans.cut import written
+from tessera.plans.cut import Tables, written
 
 LENGTH, GRAM = 400, 32
 #: Bytes of a shard, and contents of an anchor that still go to one.
@@ -145,12 +145,15 @@ def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
 def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
     """``key, size, spans`` of ``rows`` (``KEYS, doc, text``) with repeated bytes: the windows' spans, not merged."""
     content = ["anchor", "content"]
-    held = written(segments(rows.select(*KEYS, "text"), length, gram), "segments")
-    # Most anchors stand once and go no further.
-    # (Grouped tables are written before they are joined, so that a hot anchor's join can be split.)
-    again = held.groupBy("anchor").agg(F.sum("run").alias("n")).where("n > 1").select("anchor")
-    again = written(again, "anchors")
+    with Tables() as early:
+        held = written(segments(rows.select(*KEYS, "text"), length, gram), "segments")
+        # Most anchors stand once and go no further. (Grouped tables are written before
+        # they are joined, so that a hot anchor's join can be split.)
+        again = held.groupBy("anchor").agg(F.sum("run").alias("n")).where("n > 1").select("anchor")
+        again = written(again, "anchors")
     pool = written(held.join(again, "anchor", "left_semi"), "repeated-anchors")
+    # Nothing below reads these two again.
+    early.release(rows.sparkSession)
     contents = written(
         pool.groupBy(*content).agg(
             F.sum("run").alias("places"), F.min(F.struct(*KEYS, "first", "windows")).alias("owner")
