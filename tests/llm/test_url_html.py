@@ -148,3 +148,17 @@ def test_occurrence_vectors_meet(spark):
     classes = {r["token"]: (r["pages"], r["vector"]) for r in found}
     assert classes["article"] == (12, root["vector"]) == classes["body"]
     assert [r["pages"] for r in found if r["kind"] == "text" and r["pages"] > 1] == [8]
+
+
+def test_shared_text_inside_the_slot_is_kept(spark):
+    rows = [(i, f"https://copies.net/{i}", page("<h1>One</h1><p>text of all copies</p>"), "p", "t") for i in range(12)]
+    rows += [(100 + i, f"https://bare.net/{i}", "<body><p>no slot</p><p>at all</p></body>", "p", "t") for i in range(12)]
+    rows += [(200 + i, f"https://h.net/{i}", page(f"<p>own {i}</p><h2>Sources</h2><p>number {i}</p><p>same words</p>"), "p", "t")
+             for i in range(12)]
+    rows += [(300 + i, f"https://edge.net/{i}", f"<body><b>site</b><p>own words {i}</p><h2>More</h2><p>words {i}</p><i>foot</i></body>", "p", "t")
+             for i in range(12)]
+    found = extracted(spark, rows)
+    for i in range(12):
+        assert found[i] == "One text of all copies" and found[100 + i] == "no slot at all"
+        assert found[200 + i] == f"own {i} Sources number {i} same words"
+        assert found[300 + i] == f"own words {i} More words {i}"
