@@ -162,3 +162,20 @@ def test_shared_text_inside_the_slot_is_kept(spark):
         assert found[i] == "One text of all copies" and found[100 + i] == "no slot at all"
         assert found[200 + i] == f"own {i} Sources number {i} same words"
         assert found[300 + i] == f"own words {i} More words {i}"
+
+
+def test_unwanted_elements_end_as_in_html():
+    text = "the long text of this page " * 9 + "ends"
+    pages = [
+        f"<body><p class='notice'>no<p>{text}</p>", f"<body><ul><li class='share'>no<li>{text}</ul>",
+        f"<html><head><title>t</title><p>{text}</html>", f"<html><head><title>t</title>{text}</html>",
+        f"<body><div><p class='ad'>no</div>{text}", f"<body><nav><ul><li>no</nav>{text}",
+        f"<body><table><tr><td class='ad'>no<td>{text}<tr class='promo'><td>no</table>",
+        f"<body><form><select><option>no<option>no</select>no</form>{text}", f"<body><a class='share'>no<p>no</a>{text}",
+        f"<body><ul class='menu'><li>no<ul><li>no</ul><li>no</ul>{text}", f"<body><div><div class='ad'>no<svg/></div>{text}</div>",
+        f"<body><main class='sidebar has-sidebar'>{text}</main>", f"<body><article class='post no-comments'>{text}</article>",
+        f"<body><div id='page' class='header-fixed'>{text}</div>", f"<body><div class='header'>{text}</div><div class='ad'>no</div>",
+        f"<body>{text}<div class='cookie-banner'>no</div>",
+    ]
+    for made in pages:
+        assert html_extract.main_text(made, [], frozenset()) == text, made
