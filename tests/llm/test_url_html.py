@@ -179,3 +179,16 @@ def test_unwanted_elements_end_as_in_html():
     ]
     for made in pages:
         assert html_extract.main_text(made, [], frozenset()) == text, made
+
+
+def test_a_teaser_article_is_not_the_main_slot(spark):
+    rows = [
+        (i, f"https://h.net/{i}", f"<body><article class='featured'>teaser {i}</article><div class='story'><h1>T{i}</h1>"
+         f"<p>{'words of this page ' * 19}{i}</p></div></body>", "p", "t")
+        for i in range(6)
+    ]
+    rows += [(10 + i, f"https://m.net/{i}", page(f"<p>words {i}</p>", i).replace("<article>", "<p>a</p><article>"), "p", "t") for i in range(6)]
+    found = extracted(spark, rows)
+    for i in range(6):
+        assert found[i] == f"T{i} " + "words of this page " * 19 + f"{i}"
+        assert found[10 + i] == f"words {i}"
