@@ -14,6 +14,7 @@ window fills whole windows, its rest is a piece like any other.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,6 +34,8 @@ FAN = 64
 END = 0
 #: A text with a longer run without blanks goes to the slower library, whose time does not grow with its square.
 LONG_RUN = 10_000
+#: So does one with a longer run of blanks, at which the faster library's pattern can also run out of stack.
+LONG_BLANKS = 1_000
 #: Rows that the packer gathers before it hands them on.
 BATCH = 8192
 
@@ -52,8 +55,12 @@ def _tokenizer(name: str):
     special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
+    long_blanks = re.compile(r"\s{%d}" % (LONG_BLANKS + 1))
+
     def ids(text: str) -> list[int]:
-        if len(text) > LONG_RUN and max(map(len, text.split()), default=len(text)) > LONG_RUN:
+        if len(text) > LONG_BLANKS and long_blanks.search(text):
+            return whole.encode(text, add_special_tokens=False).ids
+        if len(text) > LONG_RUN and max(map(len, text.split())) > LONG_RUN:
             return whole.encode(text, add_special_tokens=False).ids
         return fast.encode(text, allowed_special="all")
 

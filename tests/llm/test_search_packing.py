@@ -21,6 +21,15 @@ def test_packed_ids_are_those_of_the_library(odd, sample):
         assert packing.token_ids(text).tolist() == want
 
 
+def test_long_runs_of_blanks_are_packed():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("word" + " " * 1_200_000 + "word", " \n\t" * 4000, "a" + "\u00a0" * 1001 + "b", ("a" + " " * 9000) * 20):
+        assert packing.token_ids(text).tolist() == [*library.encode(text, add_special_tokens=False).ids, 0]
+
+
 @pytest.mark.parametrize("table", ["odd", "sample", "empty"])
 def test_pieces_cover_every_document(request, table):
     docs = request.getfixturevalue(table)
