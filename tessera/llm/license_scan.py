@@ -3,9 +3,10 @@
 All rolling word k-grams of a document meet the template positions of equal
 hash in a join. Hits of one template at one offset (document position minus
 template position) form a diagonal; the bits of the template positions seen are
-its votes. Diagonals with all bits are exact places of a phrase. Neighbouring
-diagonals merge (a word may be missing or added), and a merged span counts if
-enough of the template stands in it and little else does.
+its votes. Diagonals with all bits are exact places of a phrase. Elsewhere
+neighbouring diagonals form a chain (a word may be missing or added); each
+diagonal alone, with any of its neighbours and the chain as a whole are verified,
+and the best counts if enough of the template stands in it and little else does.
 
 Defined results: null and empty texts have no words and no label; a document
 shorter than a gram has none; repeated rows get the same result each (votes are
@@ -116,26 +117,58 @@ def spans(found: DataFrame, templates: list[Template], keys: list[str], k: int =
     sizes = [len(t.text.split()) for t in templates]
     size = F.element_at(F.array(*map(F.lit, sizes)), F.col("template") + 1)
     exact = F.element_at(F.array(*[F.lit(t.exact) for t in templates]), F.col("template") + 1)
-    whole = found.where(exact & (F.bit_count("votes") == size - k + 1)).select(
-        *keys, "template", "first", "last", F.lit(1.0).alias("score")
-    )
+    all_votes = F.bit_count("votes") == size - k + 1
+    whole = found.where(all_votes).select(*keys, "template", "first", "last", F.lit(1.0).alias("score"))
     order = W.partitionBy(*keys, "template").orderBy("diagonal")
+    chain = W.partitionBy(*keys, "template", "span")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > NEAR, F.lit(True))
-    merged = (
+    # At most NEAR + 1 diagonals, the row's own first.
+    near = F.collect_list(F.struct("votes", "first", "last")).over(order.rangeBetween(0, NEAR))
+    joined = (
         found.where(~exact)
         .withColumn("apart", apart.cast("long"))
+        .withColumn("near", near)
         .withColumn("span", F.sum("apart").over(order))
-        .groupBy(*keys, "template", "span")
-        .agg(F.bit_or("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .withColumn("whole", F.max(all_votes).over(chain))
+        .withColumn(
+            "all",
+            F.struct(
+                F.bit_or("votes").over(chain).alias("votes"),
+                F.min("first").over(chain).alias("first"),
+                F.max("last").over(chain).alias("last"),
+            ),
+        )
+        .where(~F.col("whole"))
     )
-    # A gram at bit i shows the template's words i to i + k - 1.
-    shown = F.col("votes")
-    for j in range(1, k):
-        shown = shown.bitwiseOR(F.shiftleft(F.col("votes"), j))
-    matched = F.bit_count(shown)
-    coverage, density = matched / size, F.least(F.lit(1.0), matched / (F.col("last") - F.col("first") + 1))
-    verified = merged.where((coverage >= COVERED) & (density >= DENSE)).select(
-        *keys, "template", "first", "last", F.least(coverage, density).alias("score")
+
+    def chosen(mask: Column) -> Column:
+        # Bit i of the mask is the row's neighbour i + 1.
+        bit = lambda i: F.call_function("shiftright", mask, i - 1).bitwiseAND(F.lit(1)) == 1
+        parts = F.filter("near", lambda x, i: (i == 0) | bit(i))
+        return F.struct(
+            F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x["votes"])).alias("votes"),
+            F.array_min(parts["first"]).alias("first"),
+            F.array_max(parts["last"]).alias("last"),
+        )
+
+    def scored(x: Column) -> Column:
+        # A gram at bit i shows the template's words i to i + k - 1.
+        shown = x["votes"]
+        for j in range(1, k):
+            shown = shown.bitwiseOR(F.shiftleft(x["votes"], j))
+        matched = F.bit_count(shown)
+        coverage, density = matched / size, F.least(F.lit(1.0), matched / (x["last"] - x["first"] + 1))
+        verified = (coverage >= COVERED) & (density >= DENSE)
+        return F.when(verified, F.struct(F.least(coverage, density).alias("score"), x["first"].alias("first"), x["last"].alias("last")))
+
+    masks = F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), F.size("near") - 1) - 1)
+    tried = F.concat(F.transform(masks, chosen), F.array("all"))
+    verified = (
+        joined.withColumn("best", F.array_max(F.transform(tried, scored)))
+        .groupBy(*keys, "template", "span")
+        .agg(F.max("best").alias("best"))
+        .where("best IS NOT NULL")
+        .select(*keys, "template", "best.first", "best.last", "best.score")
     )
     return whole.unionByName(verified)
 

@@ -116,3 +116,19 @@ def test_licences(request, table):
 def test_spans_survive_added_words(licences):
     labels = {r["doc_id"]: r["labels"] for r in license_scan.scan(licences).collect()}
     assert "gpl-3.0" in labels[0] and labels[3] == "mit-grant" and labels[4] == ""
+
+
+def test_whole_phrases_next_to_partial_repeats(documents):
+    grant = "permission is hereby granted free of charge to any person obtaining a copy of this software"
+    texts = [
+        ("released under the MIT license (the MIT license)", "mit,mit-notice", 1.0),
+        ("the mit license the mit license released under the mit license under the mit license the mit license", "mit,mit-notice", 1.0),
+        ("released under the the mit license x the mit license x the mit license", "mit,mit-notice", None),
+        (f"{grant[:30]} {grant} of this software", "mit-grant", 1.0),
+        (f"of charge to {grant.replace('free ', '')} a copy of a copy of", "mit-grant", None),
+        (f"{grant} {grant}", "mit-grant", 1.0), ("released under", "", 0.0),
+    ]
+    rows = {r["doc_id"]: r for r in license_scan.scan(documents([(i, t, "s") for i, (t, _, _) in enumerate(texts)])).collect()}
+    for i, (text, labels, score) in enumerate(texts):
+        assert rows[i]["labels"] == labels, text
+        assert score is None or rows[i]["score"] == score, text
