@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
+    divergence,
+    exact_dedup,
     html_extract,
     license_scan,
     lm_scoring,
@@ -15,6 +17,7 @@ from tessera.llm import (
     packing,
     quality_rules,
     simhash,
+    spelling,
     suffix_dedup,
     topk_search,
     url_filters,
@@ -76,6 +79,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = exact_dedup.mark(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return marked.select("doc.doc_id", *marked.columns[1:])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_topk_search,
@@ -88,6 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_simhash,
         op10_license_scan,
+        op11_spelling_variants,
+        op12_source_divergence,
+        op13_exact_dedup,
     )
     return {f.__name__: f for f in registered}
 
@@ -123,5 +142,40 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () rid, coalesce(lang, '') lang, coalesce(source, '') source, coalesce(text, '') t FROM documents),
+w AS (SELECT rid, lang, source, translate(unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') term FROM d),
+k AS (SELECT rid, lang, source, term, count(*) n FROM w GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::BIGINT n FROM k GROUP BY lang, term HAVING count(*) >= 3),
+v AS (SELECT lang, count(*) v, sum(n)::HUGEINT total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, sum(k.n)::BIGINT n FROM k SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+t AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+f AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (t.total + v.v) p,
+  1 + (1000000000::HUGEINT * (kept.n + 1)) // (v.total + v.v) q
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+sums AS (SELECT a.lang, a.source, b.source item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) value
+  FROM f a JOIN f b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT lang, source, 'pair' part, item, coalesce(value, 0) value FROM pairs LEFT JOIN sums USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM f WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, value::BIGINT value, rank::INT AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+EXACT_SQL = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) keep_id, count(*) OVER (PARTITION BY t) group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 kept, sha256(t) text_sha256 FROM n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": SEARCH_SQL, "op8_quality_rules": QUALITY_SQL}
+    return {
+        "op1_topk_search": SEARCH_SQL,
+        "op8_quality_rules": QUALITY_SQL,
+        "op12_source_divergence": DIVERGENCE_SQL,
+        "op13_exact_dedup": EXACT_SQL,
+    }
