@@ -125,6 +125,6 @@ def test_audit_ties_beyond_the_limit(spark):
     rows = [(" ".join(f"w{chr(0x4E00 + i)}" for i in range(500)) + " rare" * (i == 0), "en", s) for s in "ab" for i in range(3)]
     rows += [("only of b " + " ".join(f"v{chr(0x4E00 + i)}" for i in range(90)), "en", "b")] * 3
     docs = spark.createDataFrame(rows, "text string, lang string, source string")
-    for ranks in (1, 7, 90, 91, 94, 200):
+    for ranks in (7, 91, 200):
         assert audited(docs, ranks=ranks) == plain_audit(rows, ranks=ranks)
     assert audited(docs, scale=50) == plain_audit(rows, scale=50)
