@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +77,19 @@ def _literal(vector: list[float]) -> Column:
     return F.array(*[F.lit(float(c)) for c in vector])
 
 
+# Vectors that pivots and basis are taken from, about; any others would only change the speed.
+SAMPLE = 2048
+
+
+def _basis(sample: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and orthonormal directions of a sample, the largest variance first."""
+    if len(sample) < 2:
+        return np.zeros(m), np.eye(m)
+    mean = sample.mean(axis=0)
+    _, directions = np.linalg.eigh((sample - mean).T @ (sample - mean) / len(sample))
+    return mean, np.ascontiguousarray(directions[:, ::-1])
+
+
 def knn_vec(
     r: DataFrame,
     s: DataFrame | None = None,
@@ -85,12 +99,19 @@ def knn_vec(
     exclude_self: bool = True,
     ties: str = "distinct",
     unique_ids: bool = False,
+    work: bool = False,
 ) -> DataFrame:
     """kNN over the first ``m`` coordinates of the array column ``v``.
 
-    Search regions are pruned by the distances to two vectors of the data: the
-    one farthest from the origin and the one farthest from that. Arrays with
-    fewer than ``m`` coordinates, or with null ones, take no part.
+    Search regions are pruned by the distances to two vectors of a sample, the one
+    farthest from the origin and the one farthest from that. Regions that are left meet
+    in blocks: coordinates are turned into the sample's directions of largest variance,
+    the leading ones rule out targets, a matrix product estimates the rest, and only
+    what the estimate leaves open is computed in full. Arrays with fewer than ``m``
+    coordinates, or with null ones, take no part.
+
+    ``work=True`` gives one row instead: ``pairs`` that met, ``leading`` distances over
+    the leading coordinates and ``whole`` distances over all of them.
     """
 
     def cut(df: DataFrame) -> DataFrame:
@@ -100,16 +121,20 @@ def knn_vec(
 
     r_cut, s_cut = cut(r), None if s is None else cut(s)
     targets = r_cut if s_cut is None else s_cut
-
-    def farthest(pivot: list[float]) -> list[float]:
-        away = euclidean_vec(F.col("v"), _literal(pivot), m)
-        # The vector breaks ties, so that every run picks the same one.
-        finite = F.when(away < float("inf"), F.struct(away.alias("d"), "v"))
-        top = targets.agg(F.max(finite).alias("top")).first()["top"]
-        return pivot if top is None else top["v"]
-
-    first = farthest([0.0] * m)
+    rows = targets.count()
+    # A share of the rows, about SAMPLE of them, whatever their number.
+    some = targets.select("v") if rows <= SAMPLE else targets.select("v").sample(SAMPLE / rows, 42)
+    sample = np.array([row["v"] for row in some.collect()], np.float64).reshape(-1, m)
+    # Squares of what is left stay finite.
+    sample = sample[(np.abs(sample) < 1e100).all(axis=1)]
+
+    def farthest(pivot: np.ndarray) -> np.ndarray:
+        away = ((sample - pivot) ** 2).sum(axis=1)
+        return sample[away.argmax()] if len(sample) else pivot
+
+    first = farthest(np.zeros(m))
     second = farthest(first)
+    mean, basis = _basis(sample, m)
 
     def side(df: DataFrame) -> DataFrame:
         return df.select(
@@ -127,5 +152,6 @@ def knn_vec(
         ties=ties,
         exclude_self=exclude_self,
         unique_ids=unique_ids,
-        shape=Pivoted(m),
+        shape=Pivoted(m, mean=mean, basis=basis),
+        work=work,
     )

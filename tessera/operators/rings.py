@@ -10,6 +10,7 @@ from tessera.functions.metrics import euclidean
 from tessera.operators.topk import check_ties, top_k
 from tessera.plans.cut import written
 from tessera.plans.nearest import knn_join
+from tessera.plans.skew import salted_join
 
 BOUNDARIES = ("fraction", "relative")
 
@@ -130,6 +131,9 @@ def _first(near: Column, k: int, ties: str) -> Column:
     return F.get(F.transform(F.array(F.sort_array(near)), pick), F.lit(0))
 
 
+# Rings with fewer rows than this need no salting.
+HOT_RING = 1 << 14
+
 # Rings of at most so many rows are met row by row; larger ones go through tiles.
 SMALL_RING = 1024
 
@@ -160,7 +164,10 @@ def knn_ring(
         copies = copies.distinct()
     astray = ~finite(F.col("x"), F.col("y"))
     sizes = copies.groupBy("g").agg(F.count("*").alias("n"), F.count_if(astray).alias("astray"))
-    sized = written(copies.join(sizes, "g"), "rings")
+    # A ring may hold much of the data, so its rows are dealt over tasks to meet its size.
+    hot = HOT_RING < points.count()
+    sized = salted_join(copies, sizes, ["g"], ["id"], HOT_RING) if hot else copies.join(sizes, "g")
+    sized = written(sized, "rings")
     most = sized.agg(F.max("n").alias("n"), F.max("astray").alias("astray")).first()
     # At most SMALL_RING members each, so a ring fits a row.
     rings = sized.where((F.col("n") <= SMALL_RING) & ~astray).groupBy("g").agg(

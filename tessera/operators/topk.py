@@ -21,19 +21,26 @@ def top_k(pairs: DataFrame, k: int, ties: str = "distinct", by: str = "src") ->
     collapse into one neighbour, the one with the smallest id. With
     ``ties="all"`` every pair counts, ordered by distance and id.
 
-    Both steps trim before they shuffle: the aggregate combines on the map
-    side, and the rank filter runs as a group limit ahead of the exchange, so a
-    source with very many candidates sends at most ``k`` rows per task.
+    Rows are trimmed before the only shuffle: the window's rank limit runs inside each
+    task first. A source with very many candidates sends at most ``k`` rows per task with
+    ``ties="all"``, and with ``ties="distinct"`` those at one of the task's ``k`` smallest
+    distances, which are more than ``k`` only where distances are equal.
     """
     check_ties(ties)
     if ties == "distinct":
-        ranked = pairs.groupBy(by, "dist").agg(F.min("dst").alias("dst"))
-        order = Window.partitionBy(by).orderBy(F.asc_nulls_last("dist"))
-    else:
-        ranked = pairs
-        order = Window.partitionBy(by).orderBy(F.asc_nulls_last("dist"), "dst")
+        # Ranks that count distances once, so the limit holds for distinct ones.
+        near = Window.partitionBy(by).orderBy(F.asc_nulls_last("dist"))
+        first = Window.partitionBy(by, "dist").orderBy("dst")
+        ranked = pairs.withColumn("rk", F.dense_rank().over(near)).where(F.col("rk") <= k)
+        # The rank's exchange serves this window too.
+        return (
+            ranked.withColumn("_nth", F.row_number().over(first))
+            .where(F.col("_nth") == 1)
+            .select(by, "dst", "dist", "rk")
+        )
+    order = Window.partitionBy(by).orderBy(F.asc_nulls_last("dist"), "dst")
     return (
-        ranked.withColumn("rk", F.row_number().over(order))
+        pairs.withColumn("rk", F.row_number().over(order))
         .where(F.col("rk") <= k)
         .select(by, "dst", "dist", "rk")
     )

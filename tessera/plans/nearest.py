@@ -25,7 +25,7 @@ from tessera.operators.topk import check_ties, top_k
 from tessera.plans import window_bound
 from tessera.plans.cut import written
 from tessera.plans.skew import copy, deal, hot_keys, salted_join
-from tessera.plans.tiles import Packed, Pivoted, Plane, matches, pack
+from tessera.plans.tiles import VECTOR_TILE, Packed, Pivoted, Plane, matches, pack, vector_matches
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(window_bound)
@@ -140,6 +140,7 @@ def _search(
     unique_ids: bool,
     shape: Plane | Pivoted,
     radius: float | None = None,
+    work: bool = False,
 ) -> DataFrame:
     place = ["g", *shape.columns]
     cap = max(k + 1, 8)
@@ -153,11 +154,13 @@ def _search(
     if n_rows > CROWD:
         # Range partitioning reads its input twice, to sample and to send.
         places = written(places, "places")
+    vectors = isinstance(shape, Pivoted)
+    size = window_bound.span_for(k) // 2
     packed = pack(
         places,
         n_rows,
         box,
-        window_bound.span_for(k) // 2,
+        max(size, VECTOR_TILE) if vectors and s is None else size,
         shape,
         target=None if s is None else F.col("s_ids").isNotNull(),
         width=F.coalesce(F.size("r_ids"), F.lit(0)),
@@ -172,7 +175,12 @@ def _search(
     if radius is not None:
         bounds = bounds.withColumn("bound", F.least("bound", F.lit(float(radius))))
 
-    found = matches(packed, bounds, targets, ["rank"], ["s_ids"], _elsewhere(shape))
+    if vectors:
+        if work:
+            return vector_matches(packed, bounds, targets, k, ties, count=True)
+        found = vector_matches(packed, bounds, targets, k, ties)
+    else:
+        found = matches(packed, bounds, targets, ["rank"], ["s_ids"], _elsewhere(shape))
     if ties == "distinct":
         pairs = found.select("q_rank", "dist", F.get("t_s_ids", F.lit(0)).alias("dst"))
     else:
@@ -213,6 +221,7 @@ def knn_join(
     grouped: bool = False,
     shape: Plane | Pivoted = Plane(),
     radius: float | None = None,
+    work: bool = False,
 ) -> DataFrame:
     """The ``k`` nearest rows of ``s`` for every row of ``r``, within ``g``.
 
@@ -224,7 +233,8 @@ def knn_join(
     saves the shuffles that merge repeated ids. ``grouped`` says that an id may
     occur in several groups. Rows without coordinates take no part. A NaN or
     infinite coordinate puts a row at distance NaN from everything, which sorts
-    last. ``radius`` limits the distance.
+    last. ``radius`` limits the distance. ``work``, for vectors, gives the numbers of
+    distances computed instead of neighbours.
     """
     check_ties(ties)
     if k < 1:
@@ -258,7 +268,9 @@ def knn_join(
         near_s = None if s is None else s.where(_finite())
     else:
         near_r, near_s = r, s
-    result = _search(near_r, near_s, stat["n"], box, k, ties, exclude_self, unique_ids, shape, radius)
+    result = _search(near_r, near_s, stat["n"], box, k, ties, exclude_self, unique_ids, shape, radius, work)
+    if work:
+        return result.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in result.columns])
     if stat["astray"] and radius is None:
         astray = _astray(r, r if s is None else s, k, exclude_self)
         result = result.select("src", "dst", "dist").unionByName(astray)

@@ -19,16 +19,22 @@ Column conventions: ``g`` group that neighbours must share (BIGINT), ``x`` and
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.cells import Box, with_zkey
 from tessera.functions.metrics import euclidean, euclidean_vec, gap
+from tessera.plans import vector_kernel
 from tessera.plans.cut import written
-from tessera.plans.skew import copy, deal, hot_keys
+from tessera.plans.skew import copy, deal, hot_keys, salted_join
+
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(vector_kernel)
 
 FAN = 16
 TOP = 64
@@ -42,6 +48,12 @@ FEW_NODES = 1 << 12
 # A row costs hundreds of distances, so partitions are sized by rows, not bytes.
 ROWS_PER_TASK = 16384
 
+# Partitions for each shuffle partition of the session, at most: what bounds shuffles and the driver's rows.
+TASKS_PER_PARTITION = 16
+
+# Vectors are met by larger tiles, as a kernel compares whole tiles at once.
+VECTOR_TILE = 128
+
 # monotonically_increasing_id keeps the position in the partition in 33 bits.
 _ROW_MASK = (1 << 33) - 1
 
@@ -74,6 +86,9 @@ class Pivoted:
 
     m: int
     columns: tuple[str, ...] = ("x", "y", "v")
+    # A centre and an orthonormal basis, directions of large variance first.
+    mean: np.ndarray | None = field(default=None, compare=False)
+    basis: np.ndarray | None = field(default=None, compare=False)
 
     def distance(self, a, b) -> Column:
         return euclidean_vec(a("v"), b("v"), self.m)
@@ -131,7 +146,8 @@ def pack(
     partitions stay even where many rows share a place.
     """
     order = ["g", "z", *shape.columns, *tie_break]
-    tasks = max(1, n_rows // ROWS_PER_TASK)
+    most = TASKS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(n_rows // ROWS_PER_TASK, most))
     placed = (
         with_zkey(rows, box)
         .repartitionByRange(tasks, *order)
@@ -152,7 +168,7 @@ def pack(
         )
     placed = placed.drop("z")
     table = written(placed if enrich is None else enrich(placed), "packed")
-    # One row per range partition: their number is the session's setting.
+    # One row per range partition, so at most ``most``.
     per_part = table.groupBy("part").agg(
         F.count("*").alias("n"),
         F.sum(found).alias("found"),
@@ -323,3 +339,49 @@ def matches(
             dist.alias("dist"),
         )
     )
+
+
+# Target tiles that a source tile meets at a time, which bounds what a task holds.
+MEETING = 128
+
+
+def vector_matches(
+    packed: Packed, probes: DataFrame, targets: DataFrame, k: int, ties: str, count: bool = False
+) -> DataFrame:
+    """For vectors: rows that hold the ``k`` nearest of every source, with ``q_rank, t_s_ids, dist``.
+
+    Pairs of tiles are found as in ``matches``; a tile of sources then meets the rows
+    of up to ``MEETING`` target tiles at once in a kernel that computes few distances in
+    full (``vector_kernel.py``). Each meeting gives at most ``k`` rows per source.
+    ``count`` gives the work done instead: ``pairs, leading, whole`` distances.
+    """
+    shape = packed.shape
+    parts = max(1, -(-packed.n_tiles // MEETING))
+    pairs = tile_pairs(packed, probes, targets).select("a", "tile", (F.col("tile") % parts).alias("part"))
+    if parts > 1:
+        pairs = written(pairs, "pairs")
+    rows = targets.select("tile", "rank", "v", "s_ids")
+    if packed.n_tiles > BUSY:
+        # A tile that very many search: its rows go to several tasks.
+        blocks = rows.groupBy("tile").agg(F.collect_list(F.struct("rank", "v", "s_ids")).alias("rows"))
+        met = salted_join(pairs, blocks, ["tile"], ["a"], BUSY).select("a", "part", F.inline("rows"))
+    else:
+        met = pairs.join(rows, "tile").select("a", "part", "rank", "v", "s_ids")
+    sources = probes.select("a", "rank", "v", "bound")
+    if parts > 1:
+        sources = sources.join(pairs.select("a", "part").distinct(), "a")
+    else:
+        sources = sources.withColumn("part", F.lit(0).cast("long"))
+    n_sources = max(1, -(-packed.n_rows // packed.size))
+    tasks = max(packed.tasks, min(n_sources, probes.sparkSession.sparkContext.defaultParallelism))
+    if count:
+        schema = "pairs long, leading long, whole long"
+    else:
+        schema = f"q_rank long, t_s_ids {targets.schema['s_ids'].dataType.simpleString()}, dist double"
+    search = vector_kernel.search(k, ties == "distinct", shape.mean, shape.basis, count)
+    # New names apart, as both sides come from one table.
+    grouped = [
+        df.select(*[F.col(c).alias(c) for c in df.columns]).repartition(tasks, "a", "part").groupBy("a", "part")
+        for df in (sources, met)
+    ]
+    return grouped[0].cogroup(grouped[1]).applyInArrow(search, schema)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tessera as ts
-from tessera.plans import nearest, skew, tiles, window_bound
+from tessera.plans import nearest, skew, tiles, vector_kernel, window_bound
 
 FIVE = [(1, 0, 0), (2, 3, 4), (3, 6, 8), (4, 0, 5), (5, 0, 0)]
 FIVE = [(i, float(x), float(y)) for i, x, y in FIVE]
@@ -259,3 +259,36 @@ def test_sources_beside_the_targets_have_finite_bounds(points, monkeypatch, extr
     infinite, pairs = seen[0]
     # 18 source tiles and 8 target tiles; sources far away need some of the region's edge.
     assert infinite == 0 and pairs < 100
+
+
+def test_few_vectors_are_compared_in_full(spark):
+    """Of all pairs, few distances are computed over all coordinates; equal and large values lose nothing."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(700, 32)) * np.linspace(3, 0.1, 32)
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "id bigint, v array<double>")
+    work = ts.knn_vec(df, None, 5, 32, unique_ids=True, work=True).first()
+    assert work["pairs"] == 700 * 700 and 700 * 5 <= work["whole"] < 0.05 * work["pairs"]
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_kernel_equals_all_distances(distinct):
+    rng = np.random.default_rng(8)
+    m = 24
+    for scale, values in ((1.0, None), (1.0, [0.1, 0.2, 0.3]), (1e-160, None), (1e160, None), (1.0, [1e8, 1e8 + 1])):
+        rows = (rng.normal(size=(300, m)) if values is None else rng.choice(values, size=(300, m))) * scale
+        ranks = np.arange(300)
+        order = rng.permutation(300)
+        for bound in (np.inf, 2.0 * scale):
+            found = vector_kernel.nearest(
+                rows[:90], ranks[:90], np.full(90, bound), rows, ranks, order, 6, distinct, rows.mean(axis=0), np.eye(m)
+            )
+            got = {(i, j, d) for i, j, d in zip(*(x.tolist() for x in found[:3]))}
+            want = set()
+            with np.errstate(over="ignore"):
+                for i in range(90):
+                    near = sorted((float(vector_kernel.exact(rows[i : i + 1], rows[j : j + 1])[0]), order[j], j) for j in range(300) if j != i)
+                    near = [n for n in near if n[0] <= bound]
+                    if distinct:
+                        near = [n for at, n in enumerate(near) if not at or n[0] != near[at - 1][0]]
+                    want |= {(i, j, d) for d, _, j in near[:6]}
+            assert got == want

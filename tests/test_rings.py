@@ -3,9 +3,11 @@ import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import tessera as ts
 from tessera.operators import rings
+from tessera.plans import skew, tiles
 
 
 def test_stats_and_replicas(points):
@@ -111,3 +113,27 @@ def test_small_and_large_rings_agree(points, monkeypatch, small):
     rng = random.Random(22)
     data = [(i, rng.uniform(0, 9), rng.uniform(0, 9)) for i in range(200)] + [(i + 500, 1.0, 1.0) for i in range(80)]
     assert brute.rows(ts.knn_ring(points(data), 4)) == brute.top_k(ring_pairs(data, 4), 4)
+
+
+def test_a_ring_with_a_third_of_all_points_is_dealt_out(points, monkeypatch):
+    """Sizes reach the rows of a large ring through salts; the result stays that of all pairs in it."""
+    monkeypatch.setattr(rings, "HOT_RING", 16)
+    monkeypatch.setattr(skew, "HOT_SHARE", 4)
+    rng = random.Random(11)
+    angles = [rng.uniform(0, 6.28) for _ in range(60)]
+    data = [(i, math.cos(a) * 50, math.sin(a) * 50) for i, a in enumerate(angles)]
+    data += [(100 + i, rng.uniform(-70, 70), rng.uniform(-70, 70)) for i in range(120)]
+    df = points(data)
+    want = brute.rows(ts.knn_ring(df, 4, unique_ids=True))
+    monkeypatch.setattr(rings, "HOT_RING", 1 << 14)
+    assert brute.rows(ts.knn_ring(df, 4, unique_ids=True)) == want
+
+
+def test_partitions_are_bounded_by_the_session(points, monkeypatch):
+    monkeypatch.setattr(tiles, "ROWS_PER_TASK", 2)
+    monkeypatch.setattr(tiles, "TASKS_PER_PARTITION", 3)
+    df = points([(i, float(i % 37), float(i % 11)) for i in range(400)])
+    rows = df.withColumn("g", F.lit(0).cast("long"))
+    packed = tiles.pack(rows, 400, tiles.Box(0.0, 36.0, 0.0, 10.0), 32, tiles.Plane(), tie_break=["id"])
+    assert packed.tasks == 3 * 4 and packed.n_rows == 400
+    assert sorted(r["rank"] for r in packed.rows.select("rank").collect()) == list(range(400))
