@@ -8,14 +8,14 @@
    cheap, however many there are.
 3. Sort. Anchors with several contents are dealt over shards, and each shard's
    suffixes are sorted by external induced sorting with their common prefixes
-   (``suffixes.py``). An anchor with more than ``HOT`` contents would overfill a
-   shard; its windows are hashed and counted one by one instead, which is exact too.
+   (``suffixes.py``). Many contents of one anchor make one larger shard. Beyond ``HOT``
+   of them, some 50 MB, the anchor's windows are hashed and counted one by one instead.
 4. Mark. Windows found go back to all segments of their content, and to texts.
 
 Anchors are compared by 64-bit hashes, contents by 64 bits more, bytes in shards as they are.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` keep all;
-repeated rows are places of their own; an empty table gives an empty table. A
+repeated rows are places of their own, worked on once; an empty table gives an empty table. A
 removed span may begin or end inside a character's bytes; ``without_repeats``
 then drops what is left of that character.
 """
@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ from tessera.plans.cut import Tables, written
 
 LENGTH, GRAM = 400, 32
 #: Bytes of a shard, and contents of an anchor that still go to one.
-SHARD, HOT = 1_000_000, 1024
+SHARD, HOT = 1_000_000, 1 << 16
 #: Bytes that are cut at once.
 BUFFER = 1_000_000
 
@@ -151,12 +151,14 @@ def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
         # they are joined, so that a hot anchor's join can be split.)
         again = held.groupBy("anchor").agg(F.sum("run").alias("n")).where("n > 1").select("anchor")
         again = written(again, "anchors")
-    pool = written(held.join(again, "anchor", "left_semi"), "repeated-anchors")
+    # Equal rows have equal segments, which go on as one with their number.
+    pool = held.join(again, "anchor", "left_semi").groupBy(*held.columns).agg(F.count("*").alias("copies"))
+    pool = written(pool, "repeated-anchors")
     # Nothing below reads these two again.
     early.release(rows.sparkSession)
     contents = written(
         pool.groupBy(*content).agg(
-            F.sum("run").alias("places"), F.min(F.struct(*KEYS, "first", "windows")).alias("owner")
+            F.sum(F.col("run") * F.col("copies")).alias("places"), F.min(F.struct(*KEYS, "first", "windows")).alias("owner")
         ),
         "contents",
     )
@@ -174,7 +176,10 @@ def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
         # One text's segments are bounded by the text. ``doc`` comes along unread, so that
         # this exchange of texts is the one that ``removed`` needs, and is made once.
         lists = of.groupBy(*KEYS).agg(F.collect_list(F.struct(*content, "first", "windows")).alias("segments"))
-        return rows.join(lists, KEYS).select("doc", "text", "segments").mapInArrow(function, schema)
+        # Of equal rows one brings its bytes.
+        one = F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.col("size"))) == 1
+        met = rows.join(lists, KEYS).withColumn("one", one).where("one")
+        return met.select("doc", "text", "segments").mapInArrow(function, schema)
 
     def parts(batch: pa.RecordBatch) -> Iterator[tuple[dict, np.ndarray]]:
         for text, own in zip(batch.column("text"), batch.column("segments")):
@@ -201,8 +206,6 @@ def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
             yield table()
 
     def sort(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        # Equal rows have brought the same.
-        own = own.drop_duplicates(content)
         sizes = own["data"].map(len).to_numpy()
         at = np.cumsum(sizes) - sizes
         valid = np.zeros(int(sizes.sum()), bool)
@@ -222,8 +225,10 @@ def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for s, part in parts(batch):
-                    n, whole = len(part) - length + 1, memoryview(part.tobytes())
-                    hashes = np.array([xxhash.xxh3_64_intdigest(whole[i : i + length]) for i in range(n)], np.uint64)
+                    n, width = len(part) - length + 1, 1 << (length.bit_length() - 1)
+                    # A window is known by its first and its last bytes, which overlap.
+                    halves = gram_hashes(part, width)
+                    hashes = halves[:n] * np.uint64(_STEP) ^ halves[length - width :][:n]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([s["anchor"]] * n, pa.int64()),
@@ -307,7 +312,7 @@ def removed(
     return joined.mapInArrow(run, schema)
 
 
-def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with repeated passages cut out of their texts."""
-    rows = removed(docs, [c for c in docs.columns if c != text], text, as_text=True)
+def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
+    """The documents with passages of ``length`` bytes that stand twice cut out of their texts."""
+    rows = removed(docs, [c for c in docs.columns if c != text], text, length, as_text=True)
     return rows.select(*[(F.col("kept") if c == text else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

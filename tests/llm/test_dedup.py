@@ -161,3 +161,11 @@ def test_texts_without_repeats(sample, odd):
     for docs in (sample, odd):
         left = suffix_dedup.without_repeats(docs)
         assert left.columns == docs.columns and left.count() == docs.count()
+
+
+def test_a_row_that_stands_thousands_of_times(documents):
+    """Equal rows are worked on once, and each loses its passage."""
+    text = "".join(f"{i * i % 9973:04d} " for i in range(60))
+    rows = [(7, text)] * 3000 + [(i + 100, f"{i:040d} {text[i:]} {i}") for i in range(20)]
+    docs = documents([(i, t, "s") for i, t in rows]).repartition(4)
+    assert cut(docs, length=64, gram=16) == brute(rows, 64)

@@ -43,6 +43,20 @@ def test_decisions_take_effect(tables):
     assert packed.agg(F.sum("length")).first()[0] == tokens
 
 
+def test_no_passage_of_fifty_words_stands_twice(tables):
+    def shared(table):
+        seen, twice = {}, 0
+        for doc, text in table.select("doc_id", "text").collect():
+            words = (text or "").split(" ")
+            for i in range(len(words) - 50):
+                passage = " ".join(words[i : i + 51])
+                if len(passage.encode()) >= corpus_pipeline.PASSAGE:
+                    twice += seen.setdefault(passage, doc) != doc
+        return twice
+
+    assert shared(tables[2]) > 0 and shared(tables[3]) == 0
+
+
 def test_run_gives_the_last_stage(spark, tables):
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     run = corpus_pipeline.run(spark, SF).select(*columns)
