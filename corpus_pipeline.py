@@ -1,4 +1,10 @@
-"""The corpus pipeline: quality rules, near-duplicates, repeated passages, mixing, packing."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated passages, mixing, packing.
+
+Each stage has the defined results of its operator: null and empty texts fail the quality
+rules and go; very long texts are read whole; of equal or near-equal rows one stays, as
+SimHash near-dedup states; ties in the mix are settled as mixing states; an empty table
+gives an empty result; further columns are carried and may have any names.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +15,10 @@ from tessera.llm import mixing, packing, quality_rules, simhash, suffix_dedup
 from tessera.plans.cut import written
 
 
+#: Bytes of a passage that stands twice: less than 50 words have in common prose.
+PASSAGE = 200
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     return quality_rules.keep_good(docs)
@@ -21,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that also stand elsewhere."""
-    return suffix_dedup.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return suffix_dedup.without_repeats(docs, length=PASSAGE).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
