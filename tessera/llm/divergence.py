@@ -25,58 +25,62 @@ read whole; an empty table gives an empty one; other columns are not read.
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.plans.cut import Tables, written
 
-#: Characters of terms; documents of a lang that a kept term needs; what a share of 1 counts.
-TERM, LEAST, SCALE = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", 3, 1_000_000_000
+#: Documents of a lang that a kept term needs; what a share of 1 counts.
+LEAST, SCALE = 3, 1_000_000_000
 #: Ranks of terms per group.
 RANKS = 200
 #: Entries that a task holds before it passes them on.
-HELD = 200_000
+HELD = 400_000
 
-COUNTS = "lang string, source string, term string, n long, docs long"
+COUNTS = ["lang", "source", "term", "n", "docs"]
 GROUP = ["lang", "source"]
 
+#: What each UTF-8 byte becomes: letters of ASCII in lower case, its other characters a blank.
+_BYTES = bytes(b if b >= 0x80 else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
+#: Bits that the number of documents has beside the number of occurrences.
+_BITS = 31
+
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``COUNTS``, partly summed; a null term counts the documents of its group."""
-    found = re.compile(TERM).findall
 
-    def table(held: dict) -> pa.RecordBatch:
-        langs, sources, terms = zip(*held)
-        n, documents = zip(*held.values())
-        text, number = pa.string(), pa.int64()
-        columns = [(langs, text), (sources, text), (terms, text), (n, number), (documents, number)]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], [c.split()[0] for c in COUNTS.split(", ")])
+    def tables(held: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, source), counts in held.items():
+            both = np.fromiter(counts.values(), np.int64, len(counts))
+            group = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(counts), np.int8))) for x in (lang, source)]
+            terms = pa.array(counts, pa.binary()).cast(pa.string())
+            numbers = pa.array(both >> _BITS), pa.array(both & ((1 << _BITS) - 1))
+            yield pa.RecordBatch.from_arrays([*group, terms, *numbers], COUNTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
+        entries = 0
         for batch in batches:
             for own, *group in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                counts: dict = {}
-                # bytes.lower() knows A-Z only.
-                for term in found(own.encode().lower().decode()):
-                    counts[term] = counts.get(term, 0) + 1
-                counts[None] = 0
-                for term, n in counts.items():
-                    entry = held.setdefault((*group, term), [0, 0])
-                    entry[0] += n
-                    entry[1] += 1
-                if len(held) >= HELD:
-                    yield table(held)
-                    held = {}
-        if held:
-            yield table(held)
+                counts = held.setdefault(tuple(group), {})
+                before = len(counts)
+                counts[None] = counts.get(None, 0) + 1
+                for term, n in Counter(own.encode().translate(_BYTES).split(b" ")).items():
+                    if term:
+                        counts[term] = counts.get(term, 0) + (n << _BITS) + 1
+                entries += len(counts) - before
+                if entries >= HELD:
+                    yield from tables(held)
+                    held, entries = {}, 0
+        yield from tables(held)
 
     blank = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))]
-    return docs.select(*blank).mapInArrow(run, COUNTS)
+    return docs.select(*blank).mapInArrow(run, "lang string, source string, term string, n long, docs long")
 
 
 def _value(p: str, q: str) -> str:
@@ -101,13 +105,14 @@ def audit(
     """``lang, source, part, item, value, rank``: parts ``pair`` (other sources) and ``term``."""
     spark = docs.sparkSession
     with Tables() as early:
-        counts = term_counts(docs, text, lang, source).groupBy(*GROUP, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-        counts = written(counts, "counts")
-    terms = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(
+        counts = written(term_counts(docs, text, lang, source), "counts")
+    # Counts are summed per batch already; both sums need one exchange.
+    dealt = counts.where("term IS NOT NULL").repartition("lang", "term")
+    terms = dealt.groupBy(*GROUP, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).groupBy("lang", "term").agg(
         F.collect_list(F.struct("source", "n")).alias("places"), F.sum("n").alias("n"), F.sum("docs").alias("docs")
     )
     terms = written(terms.where(F.col("docs") >= least).select("lang", "term", "n", F.array_sort("places").alias("places")), "terms")
-    every = counts.where("term IS NULL").select(*GROUP)
+    every = written(counts.where("term IS NULL").select(*GROUP).distinct(), "every")
     kept = terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_n"))
     own = terms.select("lang", "n", F.explode("places").alias("at")).select("lang", "at.source", F.col("at.n").alias("a"), F.col("n").alias("b"))
     # The cells against the lang; their sums by source are what each group has of each count.
@@ -145,12 +150,13 @@ def _terms(terms: DataFrame, cells: DataFrame, groups: DataFrame, ranks: int, sc
 def _pairs(terms: DataFrame, cells: DataFrame, groups: DataFrame, scale: int) -> DataFrame:
     """Every source against each other source of its lang, over all kept terms."""
     # Sources meet where both have a term; one row of a cell serves both directions.
-    both = F.expr(
-        "flatten(transform(places, (x, i) -> transform(slice(places, i + 2, size(places)), "
-        "y -> struct(x.source AS s, y.source AS t, x.n AS a, y.n AS c))))"
-    )
-    meet = terms.where(F.size("places") > 1).select("lang", F.explode(both).alias("at"))
-    meet = written(meet.groupBy("lang", "at.s", "at.t", "at.a", "at.c").agg(F.count("*").alias("m")), "meetings")
+    # Terms with equal counts everywhere are taken together.
+    vectors = terms.where(F.size("places") > 1).groupBy("lang", "places").agg(F.count("*").alias("m"))
+    here = vectors.select("lang", "m", "places", F.posexplode("places").alias("i", "x"))
+    later = F.slice("places", F.col("i") + 2, F.size("places"))
+    meet = here.select("lang", "m", F.col("x.source").alias("s"), F.col("x.n").alias("a"), F.explode(later).alias("y"))
+    meet = meet.groupBy("lang", "s", F.col("y.source").alias("t"), "a", F.col("y.n").alias("c")).agg(F.sum("m").alias("m"))
+    meet = written(meet, "meetings")
     turned = meet.selectExpr("lang", "t AS s", "s AS t", "c AS a", "a AS c", "m")
     meet = meet.unionByName(turned)
     here = groups.selectExpr("lang", "source AS s", "total AS p_total", "m AS p_m", "v")
