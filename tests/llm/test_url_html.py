@@ -123,8 +123,8 @@ def test_articles(spark):
     ]
     found = extracted(spark, pages)
     for i in range(30):
-        # The paragraph that stands on every page of a host is part of its template.
-        assert found[i] == f"Head {i} Bold {i}. A & B {i}"
+        # A paragraph that stands on every page of a host belongs to the article it stands in.
+        assert found[i] == f"Head {i} Bold {i}. A & B {i} same words"
     assert found[100] == found[101] == "" and found[102] == "no markup <here>"
     assert found[103] == "cut off & inline two" and found[104] == "x"
     assert found[105] == "text end" and found[106] == ("word " * 50_000).strip()
