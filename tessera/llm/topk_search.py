@@ -11,10 +11,10 @@ own shard is the threshold it starts with everywhere else.
 Queries meet shards in blocks of both; no pair of single rows is a row.
 
 Defined results: vectors that are null, or hold null or non-finite components,
-take no part; shorter vectors count as filled with zeros; components are limited
-to 2**28 in size after rounding, so that no score leaves 64 bits; a null id is
-no query and sorts last among ties; repeated rows are rows of their own; an
-empty table gives an empty table.
+take no part; shorter vectors count as filled with zeros; scores are exact, and a
+rounded component or a score that leaves 64 bits is an error, never another number;
+a null id is no query and sorts last among ties; repeated rows are rows of their
+own; an empty table gives an empty table; other columns play no part.
 """
 
 from __future__ import annotations
@@ -34,23 +34,59 @@ from tessera.plans.cut import written
 BLOCK, SHARD = 64, 8192
 #: Queries that meet a shard in one task.
 QUERIES = 16_384
-SCALE, LIMIT = 256.0, 2.0**28
+SCALE = 256.0
+#: Integers below this are exact as doubles, so that their products can be sums of doubles.
+EXACT = 2.0**53
 NONE = np.iinfo(np.int64).min
 LAST = np.iinfo(np.int64).max
 
 SHARDS = (
-    "shard long, dim int, ids array<long>, vectors binary, "
+    "shard long, dim int, width int, ids array<long>, vectors binary, "
     "q_rows array<int>, q_ids array<long>, q_least array<long>"
 )
 
 
 def _matrix(vectors: list) -> np.ndarray:
     """Rounded rows, shorter ones filled with zeros."""
-    dim = max(map(len, vectors), default=0)
+    dim = max(map(len, vectors), default=0) or 1
     rows = np.zeros((len(vectors), dim))
     for i, v in enumerate(vectors):
         rows[i, : len(v)] = v
-    return np.clip(np.floor(SCALE * rows), -LIMIT, LIMIT).astype(np.int64)
+    with np.errstate(over="ignore"):
+        rows = np.floor(SCALE * rows)
+    if np.abs(rows).max(initial=0) >= 2.0**63:
+        raise OverflowError("a rounded vector component leaves 64 bits")
+    return rows.astype(np.int64)
+
+
+def _packed(rows: np.ndarray) -> tuple[int, bytes]:
+    """Bytes of one integer, 4 where all fit and else 8, and the rows in them."""
+    width = 4 if np.abs(rows).max(initial=0) < 2**31 else 8
+    return width, rows.astype(f"<i{width}").tobytes()
+
+
+def _unpacked(vectors: bytes, width: int, dim: int) -> np.ndarray:
+    return np.frombuffer(vectors, f"<i{width}").reshape(-1, dim).astype(np.int64)
+
+
+def _number_type(queries: np.ndarray, rows: np.ndarray) -> type:
+    """The fastest type whose sums of products are exact for these integers."""
+    most = queries.shape[1] * float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0))
+    return np.float64 if most < EXACT else np.int64 if most < 2.0**62 else object
+
+
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    if scores.dtype == object and not all(NONE <= x <= LAST for x in scores.flat):
+        raise OverflowError("a score leaves 64 bits")
+    return scores.astype(np.int64)
+
+
+def _bounds(queries: np.ndarray, largest: np.ndarray, smallest: np.ndarray) -> np.ndarray:
+    """The summed term maxima of each query and block, as doubles that are never too low."""
+    above, below = np.maximum(queries, 0).astype(float), np.minimum(queries, 0).astype(float)
+    largest, smallest = largest.astype(float), smallest.astype(float)
+    sizes = above @ np.abs(largest).T - below @ np.abs(smallest).T
+    return above @ largest.T + below @ smallest.T + sizes * (queries.shape[1] + 4) * 2.0**-52
 
 
 def _padded(rows: np.ndarray, dim: int) -> np.ndarray:
@@ -69,7 +105,9 @@ def search_shard(
     rows, queries = _padded(rows, dim), _padded(queries, dim)
     starts = np.arange(0, len(rows), block)
     largest, smallest = np.maximum.reduceat(rows, starts), np.minimum.reduceat(rows, starts)
-    bounds = np.maximum(queries, 0) @ largest.T + np.minimum(queries, 0) @ smallest.T
+    bounds = _bounds(queries, largest, smallest)
+    kind = _number_type(queries, rows)
+    queries, rows = queries.astype(kind), rows.astype(kind)
     order = np.argsort(-bounds, axis=1, kind="stable")
     scores = np.full((len(queries), k), NONE, np.int64)
     found = np.full((len(queries), k), LAST, np.int64)
@@ -88,7 +126,7 @@ def search_shard(
             here = own[who] - first
             mine = (here >= 0) & (here < len(part))
             got[np.flatnonzero(mine), here[mine]] = NONE
-            all_scores = np.hstack([scores[who], got])
+            all_scores = np.hstack([scores[who], _as_long(got)])
             all_ids = np.hstack([found[who], np.broadcast_to(ids[first : first + block], got.shape)])
             best = np.lexsort((all_ids, -np.maximum(all_scores, NONE + 1)), axis=1)[:, :k]
             scores[who] = np.take_along_axis(all_scores, best, 1)
@@ -112,9 +150,10 @@ def shards(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         held = np.array([LAST if i is None else i for i in ids], np.int64)
         q = np.flatnonzero(np.array(is_q, bool))
         scores, _, _ = search_shard(rows, held, rows[q], np.full(len(q), NONE), q, k)
-        values = [number, rows.shape[1], held.tolist(), rows.astype("<i4").tobytes(), q.tolist(), [ids[i] for i in q], scores[:, -1].tolist()]
+        width, packed = _packed(rows)
+        values = [number, rows.shape[1], width, held.tolist(), packed, q.tolist(), [ids[i] for i in q], scores[:, -1].tolist()]
         types = [
-            pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(),
+            pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(),
             pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()),
         ]
         names = [c.split()[0] for c in SHARDS.split(", ")]
@@ -149,28 +188,28 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     chunks = max(1, -(-n_queries // QUERIES))
     # Whole blocks of queries go to every shard; the list of shards has a row for each SHARD rows.
     asked = index.where(F.size("q_rows") > 0).select(
-        F.col("shard").alias("home"), "dim", "vectors", "q_rows", "q_ids", "q_least",
+        F.col("shard").alias("home"), "dim", "width", "vectors", "q_rows", "q_ids", "q_least",
         F.pmod(F.xxhash64("shard"), F.lit(chunks)).cast("int").alias("chunk"),
     )
 
     def only_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch["vectors"] = [
-                np.frombuffer(v, "<i4").reshape(-1, d)[list(q)].tobytes()
-                for v, d, q in zip(batch["vectors"], batch["dim"], batch["q_rows"])
+                _unpacked(v, w, d)[list(q)].astype(f"<i{w}").tobytes()
+                for v, w, d, q in zip(batch["vectors"], batch["width"], batch["dim"], batch["q_rows"])
             ]
             yield batch
 
     asked = written(asked.mapInPandas(only_queries, asked.schema), "search-queries")
     asked = asked.crossJoin(F.broadcast(index.select(F.col("shard").alias("at"))))
-    held = index.select("shard", "dim", "ids", "vectors", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    held = index.select("shard", "dim", "width", "ids", "vectors", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
 
     def search(key: tuple, here: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         names = ["home", "row", "query_id", "vec_id", "score"]
         if here.empty or queries.empty:
             return pd.DataFrame({n: pd.Series(dtype="Int64") for n in names})
         own = here.iloc[0]
-        unpack = lambda row: np.frombuffer(row["vectors"], "<i4").reshape(-1, row["dim"]).astype(np.int64)
+        unpack = lambda row: _unpacked(row["vectors"], row["width"], row["dim"])
         dim = int(queries["dim"].max())
         q = np.vstack([_padded(unpack(row), dim) for _, row in queries.iterrows()])
         q_rows, q_ids, least = (np.concatenate(queries[c].to_list()) for c in ("q_rows", "q_ids", "q_least"))

@@ -107,6 +107,37 @@ def test_search_over_many_shards_and_ties(spark, monkeypatch, shard):
     assert searched(spark, rows) == brute(rows, 5)
 
 
+@pytest.mark.parametrize("size", [4.0, 2.0**21, 2.0**24])
+def test_large_components_are_exact(spark, monkeypatch, size):
+    monkeypatch.setattr(topk_search, "SHARD", 64)
+    rng = np.random.default_rng(5)
+    values = np.round(rng.normal(0, 1, (200, 3)) * [size / 4, 1, 1], 6)
+    values[0], values[1] = [2e6, 1, 0], [3, 0, 0]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(values)]
+    whole = [[int(np.floor(256 * x)) for x in v] for _, v in rows]
+    want = []
+    for q in range(0, 200, 50):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in enumerate(whole) if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])]
+    assert sum(a * b for a, b in zip(whole[0], whole[1])) == 393216000000
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk_search.top_k(frame, F.col("id") % 50 == 0).collect()
+    assert sorted(tuple(r) for r in found) == sorted(want)
+
+
+def test_scores_beyond_64_bits_are_errors():
+    none, own = np.array([topk_search.NONE]), np.array([0])
+    rows, ids = topk_search._matrix([[2.0**24], [2.0**20], [-1.0]]), np.arange(3)
+    scores, found, _ = topk_search.search_shard(rows, ids, rows[:1], none, own, 2)
+    assert scores.tolist() == [[2**60, -(2**40)]] and found.tolist() == [[1, 2]]
+    with pytest.raises(OverflowError):
+        topk_search.search_shard(rows, ids, rows[:1], none, np.array([-1]), 2)
+    with pytest.raises(OverflowError):
+        topk_search._matrix([[1e300]])
+    scores, _, _ = topk_search.search_shard(topk_search._matrix([[], []]), ids[:2], np.zeros((1, 1), np.int64), none, own, 2)
+    assert scores.tolist() == [[0, topk_search.NONE]]
+
+
 def test_bounds_skip_blocks():
     rng = np.random.default_rng(1)
     centres = rng.normal(0, 200, (50, 16))
