@@ -181,6 +181,41 @@ def test_unwanted_elements_end_as_in_html():
         assert html_extract.main_text(made, [], frozenset()) == text, made
 
 
+NOT_ARTICLE = (
+    "comment-list post-comments user-comments reader-comments cookie-bar ad-slot site-header page-footer main-nav"
+    " related-posts newsletter-signup share-buttons notice-box"
+).split()
+
+
+@pytest.mark.parametrize("name", NOT_ARTICLE)
+def test_parts_named_by_compounds_are_left_out(name):
+    text = "words of the article " * 9
+    made = f"<body><main class='has-sidebar'><article><div class='entry-header'><h1>Head</h1></div><p>{text}</p>" + (
+        f"<div class='{name}'><p>left out</p></div><p>end</p></article></main></body>"
+    )
+    for slots in ([], ["article"], ["main has-sidebar"]):
+        assert html_extract.main_text(made, slots, frozenset()) == f"Head {text}end"
+
+
+def test_hosts_of_any_size_agree(spark):
+    rows = [
+        (100 * n + i, f"https://h{n}.net/{i}", f"<body><b>site</b><p>own words {i}</p><p>more words {i}</p><i>foot</i></body>", "p", "t")
+        for n in (2, 9, 10) for i in range(n)
+    ]
+    for page_id, text in extracted(spark, rows).items():
+        assert text == f"own words {page_id % 100} more words {page_id % 100}"
+
+
+def test_hosts_meet_beyond_ascii(spark):
+    rows = [
+        (i, f"https://{h}.net/{i}", f"<body><b>site</b><p>own words {i}</p><p>more words {i}</p></body>", "p", "t")
+        for i, h in enumerate(["\u0130A", "\u0130a", "\u0130A"])
+    ]
+    assert html_extract.host("https://\u0130A.net/x") == "\u0130a.net"
+    for i, text in extracted(spark, rows).items():
+        assert text == f"own words {i} more words {i}"
+
+
 def test_a_teaser_article_is_not_the_main_slot(spark):
     rows = [
         (i, f"https://h.net/{i}", f"<body><article class='featured'>teaser {i}</article><div class='story'><h1>T{i}</h1>"
