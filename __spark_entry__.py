@@ -155,6 +155,15 @@ def _dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ts.dedup_last(lines, "l_orderkey", DEDUP_ORDER)
 
 
+def _index_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two searches on one index, the second after it is opened again."""
+    customers = VIEWS["customer"](spark, sf_dir)
+    index = ts.build_index(customers)
+    near = ts.radius_search(index, VIEWS["supplier"](spark, sf_dir), 20.0)
+    own = ts.radius_search(ts.open_index(spark, index.path), customers, 2.0, exclude_self=True)
+    return near.withColumn("search", F.lit("supplier")).unionByName(own.withColumn("search", F.lit("customer")))
+
+
 def _radius_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources deduplicated by id, targets as they are."""
     points = VIEWS["nations"](spark, sf_dir)
@@ -274,6 +283,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "customer", lambda p: ts.radius_join(p, None, 2.0, exclude_self=True)
         ),
         "radius_join_dedup_sources": _radius_sources,
+        "index_radius": _index_radius,
         "radius_join_capped": _on("embeddings", lambda p: ts.radius_join_capped(p, None, 0.05, 5)),
         "grid_histogram_odd": _on("embeddings", lambda p: ts.grid_histogram(_odd(p))),
         "ring_assign_odd": _on("customer", lambda p: ts.ring_assign(_odd(p), K).select("id", "home")),
@@ -446,6 +456,9 @@ SELECT src, e.dst dst, e.dist dist, rk::INT rk FROM u""",
         "radius_join": _radius_sql("embeddings", 0.05),
         "radius_join_part": _radius_sql("part", 1.0),
         "radius_join_exclude_self": _radius_sql("customer", 2.0, "a.id <> b.id"),
+        "index_radius": f"""WITH p AS ({VIEW_SQL['customer']}), q AS ({VIEW_SQL['supplier']})
+SELECT a.id src, b.id dst, {DIST} dist, 'supplier' search FROM q a JOIN p b ON {DIST} <= 20.0
+UNION ALL SELECT a.id, b.id, {DIST}, 'customer' FROM p a JOIN p b ON {DIST} <= 2.0 AND a.id <> b.id""",
         "radius_join_dedup_sources": f"""WITH p AS ({VIEW_SQL['nations']}),
 r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY x DESC, y DESC) n FROM p) WHERE n = 1)
 SELECT a.id src, b.id dst, {DIST} dist FROM r a JOIN p b ON {DIST} <= 100.0""",

@@ -4,6 +4,7 @@ from tessera.functions.cells import grid_cell, ring_id, ring_key
 from tessera.functions.metrics import euclidean, euclidean_vec
 from tessera.operators.dedup import dedup_last
 from tessera.operators.grid import bounding_box, grid_cells, grid_histogram
+from tessera.operators.index import PointIndex, blocks_reached, build_index, open_index, radius_search
 from tessera.operators.knn import knn_brute, knn_exact, knn_lat_only, knn_vec
 from tessera.operators.radius import radius_join, radius_join_capped
 from tessera.operators.rings import knn_ring, point_stats, ring_assign, ring_replicas
@@ -14,8 +15,11 @@ from tessera.sources.points import parse_points, point_lines, read_points, write
 from tessera.sources.sinks import neighbour_report, write_neighbours, write_report
 
 __all__ = [
+    "PointIndex",
     "Tables",
+    "blocks_reached",
     "bounding_box",
+    "build_index",
     "dedup_last",
     "euclidean",
     "euclidean_vec",
@@ -29,11 +33,13 @@ __all__ = [
     "knn_vec",
     "neighbour_lists",
     "neighbour_report",
+    "open_index",
     "parse_points",
     "point_lines",
     "point_stats",
     "radius_join",
     "radius_join_capped",
+    "radius_search",
     "read_points",
     "release",
     "ring_assign",

@@ -117,6 +117,8 @@ class Packed:
     shape: Plane | Pivoted
     one_sided: bool
     tasks: int
+    # Nodes and their number per level, where the targets are a stored index.
+    stored: tuple[DataFrame, list[int]] | None = None
 
     @property
     def n_tiles(self) -> int:
@@ -216,6 +218,8 @@ def _box(prefix: str = "") -> list[Column]:
 
 def levels(packed: Packed, targets: DataFrame) -> tuple[DataFrame, list[int]]:
     """All nodes of the hierarchy as one table, and the node count per level."""
+    if packed.stored is not None:
+        return packed.stored
     counts = [packed.n_tiles]
     while counts[-1] > TOP:
         counts.append(-(-counts[-1] // FAN))
@@ -281,20 +285,23 @@ def matches(
     keep_source: Sequence[str],
     keep_target: Sequence[str],
     condition: Column | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """All (source, target) rows of a group within the bound of the source.
 
     Result columns: ``q_<c>`` for every source column kept, ``t_<c>`` for every
     target column kept, and ``dist``. ``condition`` may use the ``q_`` and ``t_``
-    names and is evaluated inside the join.
+    names and is evaluated inside the join. ``pairs`` are the written ``tile_pairs``,
+    where they are known already.
     """
     shape = packed.shape
-    pairs = tile_pairs(packed, probes, targets)
+    known = pairs is not None
+    pairs = pairs if known else tile_pairs(packed, probes, targets)
     join_on, source_on = ["tile"], ["a"]
     n_source_tiles = -(-packed.n_rows // packed.size)
     busy = n_source_tiles > BUSY
     if busy:
-        pairs = written(pairs, "pairs")
+        pairs = pairs if known else written(pairs, "pairs")
         hot = hot_keys(pairs, ["tile"], BUSY)
         # Source tiles that search very many tiles are dealt out as well.
         wide = hot_keys(pairs, ["a"], BUSY)
