@@ -132,3 +132,15 @@ def test_whole_phrases_next_to_partial_repeats(documents):
     for i, (text, labels, score) in enumerate(texts):
         assert rows[i]["labels"] == labels, text
         assert score is None or rows[i]["score"] == score, text
+
+
+def test_the_order_of_rules_is_by_rejections_per_cost(spark):
+    cheap = quality_rules.Rule("cheap", lambda t, w: F.length(t) < 5)
+    never = quality_rules.Rule("never", lambda t, w: F.length(t) < 0)
+    dear = quality_rules.Rule("dear", lambda t, w: (F.length(t) < 5) & (quality_rules.n_repeat_words(w) >= 0))
+    docs = spark.range(400).select(F.when(F.col("id") % 2 == 0, F.repeat(F.lit("some words "), 900)).alias("text"))
+    order = [r.name for r in quality_rules.estimate(docs, [never, dear, cheap])]
+    assert order == ["cheap", "dear", "never"]
+    long = docs.select(F.repeat(F.lit("x"), quality_rules.SAMPLE_CHARS + 1).alias("text"))
+    for rows in (docs.limit(0), long):
+        assert quality_rules.estimate(rows, [never, dear, cheap]) == [never, dear, cheap]
