@@ -197,7 +197,9 @@ def links(classes: DataFrame, bits: int = BITS) -> DataFrame:
     # Keys above CHUNK rows: at most a row for each CHUNK rows of the table.
     hot = met.groupBy("anchor").count().where(F.col("count") > CHUNK)
     hot = hot.select("anchor", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
-    rows = met.join(F.broadcast(hot), "anchor", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    # Written, so that Spark knows its size and broadcasts it only while that is small.
+    hot = written(hot, "hot-anchors")
+    rows = met.join(hot, "anchor", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     # A task (i, j) has the home rows of chunk i and all rows of chunk j.
