@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import NOT_BLANK, let, words
+from tessera.plans.cut import written
 
 #: Words of a window when repeated passages are counted.
 WINDOW = 8
@@ -123,8 +124,9 @@ def estimate(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") ->
     """The rules by rejections per second, both measured on the first ``SAMPLE_ROWS`` texts
     of at most ``SAMPLE_CHARS`` code points.
 
-    The driver takes them from the first partitions that have enough (64 MB at most) and
-    hands them to the timed jobs, so that no task gathers rows of all partitions. What a
+    The driver takes them from the first partitions that have enough (17 MB at most) and
+    writes them as a small table for the timed jobs, so that no task gathers rows of all
+    partitions. What a
     job without a rule takes is not counted. Rules without a rejection in the sample come
     last, the cheaper first; without a sample the rules keep their order.
     """
@@ -133,7 +135,7 @@ def estimate(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") ->
     if not texts:
         return list(rules)
     reads = docs.sparkSession.range(0, READS, 1, READS)
-    rows = _prepared(reads.select(F.explode(F.lit(texts)).alias("text")), "text")
+    rows = _prepared(written(reads.select(F.explode(F.lit(texts)).alias("text")), "rules-sample"), "text")
     counted = [F.count_if(r.rejects(F.col("text"), F.col("w"))).alias(r.name) for r in rules]
     rejected = rows.agg(*counted).first().asDict()
 
