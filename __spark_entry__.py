@@ -92,6 +92,13 @@ VIEWS = {
     "lineitem": _points(
         "lineitem", "l_orderkey", lambda: F.col("l_quantity"), lambda: F.col("l_extendedprice")
     ),
+    # Crowded places: orders by year and day of the year, customers by nation and balance.
+    "calendar": _points(
+        "orders", "o_orderkey", lambda: F.year("o_orderdate"), lambda: F.dayofyear("o_orderdate")
+    ),
+    "segments": _points(
+        "customer", "c_custkey", lambda: F.col("c_nationkey"), lambda: F.floor(F.col("c_acctbal") / 500)
+    ),
     # Few ids with many places each.
     "nations": _points(
         "customer", "c_nationkey", lambda: F.col("c_acctbal"), lambda: F.col("c_custkey")
@@ -106,6 +113,8 @@ VIEW_SQL = {
     "embeddings": "SELECT vec_id id, embedding[1]::DOUBLE x, embedding[2]::DOUBLE y FROM embeddings",
     "orders": "SELECT o_orderkey id, o_totalprice::DOUBLE x, "
     "date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::DOUBLE y FROM orders",
+    "calendar": "SELECT o_orderkey id, year(o_orderdate)::DOUBLE x, dayofyear(o_orderdate)::DOUBLE y FROM orders",
+    "segments": "SELECT c_custkey id, c_nationkey::DOUBLE x, floor(c_acctbal / 500)::DOUBLE y FROM customer",
     "lineitem": "SELECT l_orderkey id, l_quantity::DOUBLE x, l_extendedprice::DOUBLE y FROM lineitem",
     "nations": "SELECT c_nationkey id, c_acctbal::DOUBLE x, c_custkey::DOUBLE y FROM customer",
 }
@@ -284,6 +293,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "radius_join_dedup_sources": _radius_sources,
         "index_radius": _index_radius,
+        "radius_places": _on("calendar", lambda p: ts.radius_places(p, None, 2.0)),
+        "radius_places_expanded": _on(
+            "segments", lambda p: ts.expand_places(ts.radius_places(p, None, 1.0), p, exclude_self=True)
+        ),
         "radius_join_capped": _on("embeddings", lambda p: ts.radius_join_capped(p, None, 0.05, 5)),
         "grid_histogram_odd": _on("embeddings", lambda p: ts.grid_histogram(_odd(p))),
         "ring_assign_odd": _on("customer", lambda p: ts.ring_assign(_odd(p), K).select("id", "home")),
@@ -456,6 +469,11 @@ SELECT src, e.dst dst, e.dist dist, rk::INT rk FROM u""",
         "radius_join": _radius_sql("embeddings", 0.05),
         "radius_join_part": _radius_sql("part", 1.0),
         "radius_join_exclude_self": _radius_sql("customer", 2.0, "a.id <> b.id"),
+        "radius_places": f"""WITH d AS ({VIEW_SQL['calendar']}),
+p AS (SELECT x, y, count(*) n FROM d GROUP BY x, y)
+SELECT a.x src_x, a.y src_y, a.n src_n, b.x dst_x, b.y dst_y, b.n dst_n, {DIST} dist
+FROM p a JOIN p b ON {DIST} <= 2.0""",
+        "radius_places_expanded": _radius_sql("segments", 1.0, "a.id <> b.id"),
         "index_radius": f"""WITH p AS ({VIEW_SQL['customer']}), q AS ({VIEW_SQL['supplier']})
 SELECT a.id src, b.id dst, {DIST} dist, 'supplier' search FROM q a JOIN p b ON {DIST} <= 20.0
 UNION ALL SELECT a.id, b.id, {DIST}, 'customer' FROM p a JOIN p b ON {DIST} <= 2.0 AND a.id <> b.id""",

@@ -6,7 +6,7 @@ from tessera.operators.dedup import dedup_last
 from tessera.operators.grid import bounding_box, grid_cells, grid_histogram
 from tessera.operators.index import PointIndex, blocks_reached, build_index, open_index, radius_search
 from tessera.operators.knn import knn_brute, knn_exact, knn_lat_only, knn_vec
-from tessera.operators.radius import radius_join, radius_join_capped
+from tessera.operators.radius import expand_places, radius_join, radius_join_capped, radius_places
 from tessera.operators.rings import knn_ring, point_stats, ring_assign, ring_replicas
 from tessera.operators.topk import neighbour_lists, top_k
 from tessera.operators.upsample import upsample
@@ -23,6 +23,7 @@ __all__ = [
     "dedup_last",
     "euclidean",
     "euclidean_vec",
+    "expand_places",
     "grid_cell",
     "grid_cells",
     "grid_histogram",
@@ -39,6 +40,7 @@ __all__ = [
     "point_stats",
     "radius_join",
     "radius_join_capped",
+    "radius_places",
     "radius_search",
     "read_points",
     "release",

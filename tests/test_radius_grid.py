@@ -50,6 +50,26 @@ def test_capped(points):
     assert brute.rows(ts.radius_join_capped(points(r), None, 3.0, 5)) == brute.top_k(found, 5, "all")
 
 
+@pytest.mark.parametrize("salted", [False, True])
+def test_expanded_places_equal_the_join(points, monkeypatch, salted):
+    if salted:
+        monkeypatch.setattr(skew, "HOT_SHARE", 4)
+        monkeypatch.setattr("tessera.operators.radius.CROWD", 1)
+    r, s = points(crowded(300, 4) + [(None, 1.0, 1.0), (8, float("nan"), 1.0)] * 2), points(crowded(150, 5))
+    for a, b, itself in ((r, None, True), (r, None, False), (r, s, False), (r, s, True)):
+        got = ts.expand_places(ts.radius_places(a, b, 1.5), a, b, itself)
+        want = ts.radius_join(a, b, 1.5, itself)
+        assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+
+
+def test_copies_of_a_place_are_one_place(points, spark):
+    copies = spark.range(20_000).selectExpr("id", "1.0D x", "if(id % 2 = 0, 0.0D, -0.0D) y")
+    got = ts.radius_places(copies.union(points([(-1, 1.5, 0.0)])), None, 0.4).collect()
+    assert sorted(map(tuple, got)) == [(1.0, 0.0, 20_000, 1.0, 0.0, 20_000, 0.0), (1.5, 0.0, 1, 1.5, 0.0, 1, 0.0)]
+    assert ts.radius_places(points([]), None, 1.0).count() == 0
+    assert ts.expand_places(ts.radius_places(points([]), None, 1.0), points([])).count() == 0
+
+
 def test_odd_radius_inputs(points):
     assert pairs(ts.radius_join(points([]), None, 1.0)) == []
     data = [(1, 0.0, 0.0), (2, float("nan"), 0.0), (3, None, 0.0), (4, 0.0, 0.0)]
