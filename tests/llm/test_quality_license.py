@@ -134,6 +134,35 @@ def test_whole_phrases_next_to_partial_repeats(documents):
         assert score is None or rows[i]["score"] == score, text
 
 
+def test_templates_of_any_length(documents):
+    words = [f"w{i}" for i in range(700)]
+    long = license_scan.Template(" ".join(words), "long")
+    exact = license_scan.Template(" ".join(words[:150]), "exact", True)
+    mit = license_scan.TEXTS[0].text
+    texts = [
+        " ".join(words), " ".join(words[:149]), " ".join(["x", *words[:150], "y", *words[:150]]),
+        " ".join(words[:300] + ["new"] * 20 + words[310:]), " ".join(words[:520]), " ".join(words[::2]), None,
+    ]
+    rows = license_scan.scan(documents([(i, t, "s") for i, t in enumerate(texts)]), phrases=[long, exact]).collect()
+    found = {r["doc_id"]: (r["labels"], r["n_words"]) for r in rows}
+    assert found == {
+        0: ("exact,long", 700), 1: ("", 149), 2: ("exact", 302), 3: ("exact,long", 710), 4: ("exact", 520), 5: ("", 350), 6: ("", 0)
+    }
+    changed = mit.replace("Software", "Program").replace("copyright holders", "owners")
+    kept = [(1, f"Copyright me. {mit} end", "s"), (2, mit.replace("sell copies", "sell some more copies"), "s"), (3, changed, "s")]
+    rows = {r["doc_id"]: r for r in license_scan.scan(documents(kept)).collect()}
+    assert all("mit-grant" in rows[i]["labels"] for i in (1, 2)) and rows[1]["score"] == 1.0
+    assert "mit-text" in rows[1]["labels"] and "mit-text" in rows[2]["labels"]
+    with pytest.raises(ValueError):
+        license_scan.scan(documents(kept), phrases=[license_scan.Template("word", "w")])
+
+
+def test_each_equal_row_has_its_result(documents, monkeypatch):
+    monkeypatch.setattr(license_scan, "COPIES", 7)
+    rows = license_scan.scan(documents([(1, "the mit license", "s")] * 30 + [(None, None, "s")] * 14 + [(1, "x", "s")])).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["labels"]) for r in rows) == {(1, 3, "mit"): 30, (None, 0, ""): 14, (1, 1, ""): 1}
+
+
 def test_the_order_of_rules_is_by_rejections_per_cost(spark):
     cheap = quality_rules.Rule("cheap", lambda t, w: F.length(t) < 5)
     never = quality_rules.Rule("never", lambda t, w: F.length(t) < 0)
