@@ -33,8 +33,8 @@ from tessera.plans.cut import written
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Words of a gram; the shortest phrase has as many.
 K = 2
-#: Words of a gram of templates with at least LONG words (a multiple of K).
-LONG_K, LONG = 6, 48
+#: Words of a gram of templates with at least LONG words: two short grams on end.
+LONG_K, LONG = 2 * K, 48
 #: Diagonals at most so far apart belong to one span, and at most this share of the template's words.
 NEAR, NEAR_SHARE = 3, 1 / 16
 #: Bits of a long: words of a template per column of votes.
@@ -136,8 +136,9 @@ TEXTS = [
 
 
 def template_grams(spark: SparkSession, templates: list[Template]) -> DataFrame:
-    """``gram, template, at, k, v0, v1, ...``: a row per gram of each template.
+    """``gram, then, template, at, k, v0, v1, ...``: a row per gram of each template.
 
+    A long gram is a short one and what comes ``then``.
     Bit ``i`` of ``v0, v1, ...`` together is set if the gram shows word ``i`` of the
     template. One more row, of template ``WORDS``, meets the number of words of a text.
     """
@@ -145,9 +146,10 @@ def template_grams(spark: SparkSession, templates: list[Template]) -> DataFrame:
         raise ValueError(f"a template needs {K} words")
     rows = [(i, t.text, t.k) for i, t in enumerate(templates)]
     listed = spark.createDataFrame(rows, "template int, text string, k int")
-    h = F.transform(lower_words(F.col("text"), GAP), lambda x: F.xxhash64(x))
-    grams = listed.select("template", "k", F.explode(_places(h, F.col("k") == LONG_K)).alias("p")).select(
-        F.col("p.gram").alias("gram"), "template", F.col("p.pos").alias("at"), "k"
+    seen = listed.select("template", "k", F.posexplode(_grams(lower_words(F.col("text"), GAP))).alias("at", "p"))
+    short = F.col("k") == K
+    grams = seen.where((F.col("p.gram") != _number()) & (short | F.col("p.next").isNotNull())).select(
+        F.col("p.gram").alias("gram"), F.when(~short, F.col("p.next")).alias("then"), "template", "at", "k"
     )
 
     def shown(part: int) -> Column:
@@ -159,7 +161,9 @@ def template_grams(spark: SparkSession, templates: list[Template]) -> DataFrame:
             bits = bits.bitwiseOR(F.when(here, bit).otherwise(F.lit(0).cast("long")))
         return bits
 
-    words = spark.range(1).select(_number().alias("gram"), F.lit(WORDS).alias("template"), F.lit(0).alias("at"), F.lit(1).alias("k"))
+    words = spark.range(1).select(
+        _number().alias("gram"), F.lit(None).cast("long").alias("then"), F.lit(WORDS).alias("template"), F.lit(0).alias("at"), F.lit(K).alias("k")
+    )
     votes = _votes(templates)
     return grams.select("*", *[shown(p).alias(v) for p, v in enumerate(votes)]).unionByName(
         words.select("*", *[F.lit(0).cast("long").alias(v) for v in votes])
@@ -176,25 +180,19 @@ def _number() -> Column:
     return F.xxhash64(F.lit("number of words"))
 
 
-def _rolled(h: Column, k: int, step: int) -> Column:
-    """``pos, gram`` of all runs of ``k`` words; ``h`` has a hash of every ``step`` words."""
-    starts = F.sequence(F.lit(0), F.size(h) - (k - step) - 1)
-    one = lambda i: F.struct(
-        i.alias("pos"), F.xxhash64(*[F.get(h, i + j) for j in range(0, k, step)]).alias("gram")
-    )
-    return F.when(F.size(h) > k - step, F.transform(starts, one)).otherwise(
-        F.array().cast("array<struct<pos:int,gram:bigint>>")
-    )
-
+def _grams(w: Column) -> Column:
+    """``gram, next`` of every run of ``K`` words and of the run after it, and the number of words."""
 
-def _places(h: Column, long: Column | None = None) -> Column:
-    """Grams of ``K`` words and of ``LONG_K``, or those of one length by a condition, from word hashes."""
+    def pairs(words: Column) -> Column:
+        n = F.greatest(F.size(words) - (K - 1), F.lit(0))
+        return F.zip_with(F.slice(words, 1, n), F.slice(words, K, n), lambda a, b: F.xxhash64(a, b))
 
-    def of(short: Column) -> Column:
-        longer = lambda: _rolled(short["gram"], LONG_K, K)
-        return F.concat(short, longer()) if long is None else F.when(long, longer()).otherwise(short)
+    def of(words: Column) -> Column:
+        after = lambda g: F.arrays_zip(g, F.slice(g, K + 1, F.size(g)))
+        number = F.array(F.struct(_number().alias("gram"), F.size(words).cast("long").alias("next")))
+        return F.concat(let(pairs(words), after).cast("array<struct<gram:bigint,next:bigint>>"), number)
 
-    return let(h, lambda x: let(_rolled(x, K, 1), of))
+    return let(w, of)
 
 
 def diagonals(docs: DataFrame, templates: list[Template], keys: list[str], text: str) -> DataFrame:
@@ -202,14 +200,14 @@ def diagonals(docs: DataFrame, templates: list[Template], keys: list[str], text:
 
     The row of template ``WORDS`` has the number of words as ``first`` and that of rows as ``n``.
     """
-    hashes = F.transform(lower_words(F.col(text), GAP), lambda x: F.xxhash64(x))
-    number = lambda h: F.array(F.struct(F.size(h).alias("pos"), _number().alias("gram")))
-    seen = docs.select(*keys, F.explode(let(hashes, lambda h: F.concat(_places(h), number(h)))).alias("p"))
+    seen = docs.select(*keys, F.posexplode(_grams(lower_words(F.col(text), GAP))).alias("pos", "p"))
     # The templates are a list in the program, so the broadcast is bounded by it.
-    hits = seen.select(*keys, "p.pos", "p.gram").join(F.broadcast(template_grams(docs.sparkSession, templates)), "gram")
+    listed = F.broadcast(template_grams(docs.sparkSession, templates)).withColumnRenamed("gram", "known")
+    same = (F.col("p.gram") == F.col("known")) & (F.col("then").isNull() | (F.col("p.next") == F.col("then")))
+    hits = seen.join(listed, same)
     return hits.groupBy(*keys, "template", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         *[F.bit_or(v).alias(v) for v in _votes(templates)],
-        F.min("pos").alias("first"),
+        F.min(F.when(F.col("template") == WORDS, F.col("p.next")).otherwise(F.col("pos"))).alias("first"),
         (F.max(F.col("pos") + F.col("k")) - 1).alias("last"),
         F.count("*").alias("n"),
     )
@@ -291,7 +289,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: l
     )
     met = written(diagonals(rows, templates, keys, "text"), "diagonals")
     numbers = met.where(F.col("template") == WORDS).select(
-        *keys, "template", F.col("first").cast("long").alias("n_words"), F.col("n").alias("copies")
+        *keys, "template", F.col("first").alias("n_words"), F.col("n").alias("copies")
     )
     found = spans(met, templates, keys).unionByName(numbers, allowMissingColumns=True)
     base = F.col("template").between(0, len(BASE) - 1)
