@@ -348,8 +348,11 @@ def matches(
     )
 
 
-# Target tiles that a source tile meets at a time, which bounds what a task holds.
-MEETING = 128
+# Blocks of sources and of targets, about, from FEW_ROWS a block on and until one has BLOCK_BYTES of
+# coordinates: what is shuffled grows with the rows, and not with the number of pairs of tiles.
+BLOCKS = 8
+FEW_ROWS = 1 << 12
+BLOCK_BYTES = 1 << 26
 
 
 def vector_matches(
@@ -357,38 +360,43 @@ def vector_matches(
 ) -> DataFrame:
     """For vectors: rows that hold the ``k`` nearest of every source, with ``q_rank, t_s_ids, dist``.
 
-    Pairs of tiles are found as in ``matches``; a tile of sources then meets the rows
-    of up to ``MEETING`` target tiles at once in a kernel that computes few distances in
-    full (``vector_kernel.py``). Each meeting gives at most ``k`` rows per source.
-    ``count`` gives the work done instead: ``pairs, leading, whole`` distances.
+    Runs of tiles form blocks, about ``BLOCKS`` of them on either side. Blocks of sources
+    find target tiles as in ``matches``; a block of sources then meets the rows that it
+    reaches of one block of targets in a kernel that computes few distances in full
+    (``vector_kernel.py``). A row is sent once per block of the other side, and a meeting
+    gives at most ``k`` rows per source. ``count`` gives the work done instead: ``pairs,
+    leading, whole`` distances.
     """
     shape = packed.shape
-    parts = max(1, -(-packed.n_tiles // MEETING))
-    pairs = tile_pairs(packed, probes, targets).select("a", "tile", (F.col("tile") % parts).alias("part"))
-    if parts > 1:
+    tile_bits = packed.size.bit_length() - 1
+    most = min(max(packed.n_rows // BLOCKS, FEW_ROWS), BLOCK_BYTES // (8 * max(shape.m, 1)))
+    bits = max(most.bit_length() - 1 - tile_bits, 0)
+
+    def blocks(tiles: int) -> int:
+        return max(1, -(-tiles >> bits))
+
+    n_sources, n_parts = blocks(-(-packed.n_rows // packed.size)), blocks(packed.n_tiles)
+    probes = probes.withColumn("a", F.shiftright("a", bits))
+    pairs = tile_pairs(packed, probes, targets).select("a", "tile", F.shiftright("tile", bits).alias("part"))
+    if n_parts > 1:
         pairs = written(pairs, "pairs")
-    rows = targets.select("tile", "rank", "v", "s_ids")
-    if packed.n_tiles > BUSY:
-        # A tile that very many search: its rows go to several tasks.
-        blocks = rows.groupBy("tile").agg(F.collect_list(F.struct("rank", "v", "s_ids")).alias("rows"))
-        met = salted_join(pairs, blocks, ["tile"], ["a"], BUSY).select("a", "part", F.inline("rows"))
-    else:
-        met = pairs.join(rows, "tile").select("a", "part", "rank", "v", "s_ids")
-    sources = probes.select("a", "rank", "v", "bound")
-    if parts > 1:
+    met = pairs.join(targets.select("tile", "rank", "x", "y", "v", "s_ids"), "tile").drop("tile")
+    sources = probes.select("a", "rank", "x", "y", "v", "bound")
+    if n_parts > 1:
         sources = sources.join(pairs.select("a", "part").distinct(), "a")
     else:
         sources = sources.withColumn("part", F.lit(0).cast("long"))
-    n_sources = max(1, -(-packed.n_rows // packed.size))
-    tasks = max(packed.tasks, min(n_sources, probes.sparkSession.sparkContext.defaultParallelism))
     if count:
         schema = "pairs long, leading long, whole long"
     else:
         schema = f"q_rank long, t_s_ids {targets.schema['s_ids'].dataType.simpleString()}, dist double"
-    search = vector_kernel.search(k, ties == "distinct", shape.mean, shape.basis, count)
+    slack = packed.box.reach * 1e-9
+    search = vector_kernel.search(k, ties == "distinct", shape.mean, shape.basis, slack, count)
     # New names apart, as both sides come from one table.
     grouped = [
-        df.select(*[F.col(c).alias(c) for c in df.columns]).repartition(tasks, "a", "part").groupBy("a", "part")
+        df.select(*[F.col(c).alias(c) for c in df.columns])
+        .repartition(n_sources * n_parts, "a", "part")
+        .groupBy("a", "part")
         for df in (sources, met)
     ]
     return grouped[0].cogroup(grouped[1]).applyInArrow(search, schema)

@@ -292,3 +292,39 @@ def test_kernel_equals_all_distances(distinct):
                         near = [n for at, n in enumerate(near) if not at or n[0] != near[at - 1][0]]
                     want |= {(i, j, d) for d, _, j in near[:6]}
             assert got == want
+
+
+def test_vectors_are_sent_once_per_block(spark, monkeypatch):
+    """A row goes to one meeting per block of the other side, not per tile; answers are those of all pairs."""
+    monkeypatch.setattr(tiles, "FEW_ROWS", 1)
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(2500, 6))
+    v[::5] = np.round(v[::5])
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "id bigint, v array<double>")
+    seen = []
+    real = vector_kernel.search
+    sent = spark.sparkContext.accumulator(0)
+
+    def watched(*args):
+        run = real(*args)
+
+        def counted(sources, targets):
+            sent.add(sources.num_rows + targets.num_rows)
+            return run(sources, targets)
+
+        return counted
+
+    monkeypatch.setattr(tiles.vector_kernel, "search", watched)
+    for ties in ("distinct", "all"):
+        got = brute.rows(ts.knn_vec(df, None, 3, 6, ties=ties, unique_ids=True))
+        seen.append(sent.value)
+        want = []
+        for i in range(0, len(v), 97):
+            dist = vector_kernel.exact(np.repeat(v[i : i + 1], len(v), axis=0), v)
+            near = sorted((float(d), j) for j, d in enumerate(dist) if j != i)
+            if ties == "distinct":
+                near = [n for at, n in enumerate(near) if not at or n[0] != near[at - 1][0]]
+            want += [(i, j, d) for d, j in near[:3]]
+        assert sorted(r[:3] for r in got if r[0] % 97 == 0) == sorted(want)
+    # 10 blocks of 256 on either side; by tiles of 128 it was 20 times the rows and more.
+    assert 0 < seen[0] <= 2 * 10 * len(v)
