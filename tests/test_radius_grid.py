@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import brute
 import pytest
@@ -62,6 +63,32 @@ def test_expanded_places_equal_the_join(points, monkeypatch, salted):
         assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
 
 
+@pytest.mark.parametrize("salted", [False, True])
+def test_members_have_the_links_of_the_join(points, monkeypatch, salted):
+    if salted:
+        monkeypatch.setattr(skew, "HOT_SHARE", 4)
+        monkeypatch.setattr("tessera.operators.radius.CROWD", 1)
+    r = points(crowded(200, 4) + [(None, 1.0, 1.0), (3, 1.0, 1.0), (8, float("nan"), 1.0)] * 2)
+    for s in (None, points(crowded(150, 5) + [(None, 1.0, 1.0)])):
+        for itself in (False, True):
+            places = ts.radius_places(r, s, 1.5)
+            want = Counter(m.src for m in ts.expand_places(places, r, s, itself).collect())
+            got = Counter()
+            rows = ts.expand_places(places, r, s, itself, members=True).collect()
+            for m in rows:
+                got[m.src] += m.links
+            assert +got == want
+            if s is None:
+                assert len(rows) == 204
+
+
+def test_members_of_a_crowded_place_are_not_paired(points, spark):
+    """10^10 pairs: they could not be written out."""
+    copies = spark.range(100_000).selectExpr("id", "1.0D x", "if(id % 2 = 0, 0.0D, 1.0D) y")
+    members = ts.expand_places(ts.radius_places(copies, None, 1.0), copies, exclude_self=True, members=True)
+    assert members.groupBy("links").count().collect() == [(99_999, 100_000)]
+
+
 def test_copies_of_a_place_are_one_place(points, spark):
     copies = spark.range(20_000).selectExpr("id", "1.0D x", "if(id % 2 = 0, 0.0D, -0.0D) y")
     got = ts.radius_places(copies.union(points([(-1, 1.5, 0.0)])), None, 0.4).collect()
