@@ -227,3 +227,29 @@ def test_a_teaser_article_is_not_the_main_slot(spark):
     for i in range(6):
         assert found[i] == f"T{i} " + "words of this page " * 19 + f"{i}"
         assert found[10 + i] == f"words {i}"
+
+
+def test_templates_of_parts_of_a_host(spark):
+    """Two templates on a host, neither on half of the pages: each is a class of its own."""
+    words = "words of this page " * 9
+    rows = [
+        (i, "https://h.net/%d" % i, f"<body><b>plain site</b><i>since long</i><p>{words}{i}</p><u>call us</u></body>" if i % 3 else
+         f"<body><div class='shop'><b>our shop</b></div><div class='goods'><p>{words}{i}</p></div><i>prices</i></body>", "p", "t")
+        for i in range(12)
+    ]
+    for i, text in extracted(spark, rows).items():
+        assert text == f"{words}{i}"
+
+
+def test_classes_out_of_order_or_crossed_are_no_template(spark):
+    texts = {
+        "h": lambda i: ["a one", "a two", "a three", f"own {i}"][:: 1 if i % 2 else -1],
+        "x": lambda i: ["r one", "s one", "r two", "s two", "r three", "s three", f"own {i}"] if i % 2 else ["r one", "r two", "r three", f"own {i}"],
+        "n": lambda i: ["r one", "s one", "s two", "s three", "r two", "r three", f"own {i}"] if i % 2 else ["r one", "r two", "r three", f"own {i}"],
+    }
+    rows = [(f"https://{h}.net/{i}", "".join(f"<p>{t}</p>" for t in of(i)), h + ".net") for h, of in texts.items() for i in range(8)]
+    frame = spark.createDataFrame(rows, "url string, html string, host string")
+    made = html_extract.classes(html_extract.occurrences(frame))
+    assert sorted((r["host"], r["pages"]) for r in made.collect()) == [("h.net", 8), ("n.net", 4), ("n.net", 8), ("x.net", 4), ("x.net", 8)]
+    valid = html_extract.valid_classes(frame, made).collect()
+    assert sorted((r["host"], r["pages"]) for r in valid) == [("n.net", 4), ("n.net", 8), ("x.net", 8)]
