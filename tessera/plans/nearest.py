@@ -25,7 +25,7 @@ from tessera.operators.topk import check_ties, top_k
 from tessera.plans import window_bound
 from tessera.plans.cut import written
 from tessera.plans.skew import copy, deal, hot_keys, salted_join
-from tessera.plans.tiles import VECTOR_TILE, Packed, Pivoted, Plane, matches, pack, vector_matches
+from tessera.plans.tiles import VECTOR_TILE, Packed, Pivoted, Plane, matches, pack, plane_nearest, vector_matches
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(window_bound)
@@ -68,7 +68,8 @@ def _places(
     """Distinct places with the ids of sources and of targets there."""
     at_r = _compact(r, place, cap, unique_ids).withColumnRenamed("ids", "r_ids")
     if s is None:
-        return at_r.withColumn("s_ids", F.col("r_ids"))
+        # The same ids on both sides are written once.
+        return at_r
     at_s = _compact(s, place, cap, unique_ids).withColumnRenamed("ids", "s_ids")
     return at_r.join(at_s, place, "full")
 
@@ -167,7 +168,7 @@ def _search(
         enrich=enrich if s is None else None,
     )
     if s is None:
-        bounds = targets = packed.rows
+        bounds = targets = packed.rows.withColumn("s_ids", F.col("r_ids"))
     else:
         sources = packed.rows.where(F.col("r_ids").isNotNull())
         targets = packed.rows.where(F.col("s_ids").isNotNull())
@@ -175,25 +176,38 @@ def _search(
     if radius is not None:
         bounds = bounds.withColumn("bound", F.least("bound", F.lit(float(radius))))
 
-    if vectors:
-        if work:
-            return vector_matches(packed, bounds, targets, k, ties, count=True)
-        found = vector_matches(packed, bounds, targets, k, ties)
+    def joined(rows: DataFrame, lists: DataFrame) -> DataFrame:
+        none = F.array().cast(lists.schema["others"].dataType)
+        return rows.join(lists, "rank", "left").withColumn("others", F.coalesce("others", none))
+
+    def nested(pairs: DataFrame) -> DataFrame:
+        ranked = top_k(pairs, k, ties, by="q_rank")
+        return _nested(ranked, ["q_rank"], F.struct("dist", "dst"), "others").withColumnRenamed("q_rank", "rank")
+
+    if s is None and ties == "distinct" and not vectors:
+        solved, parts = plane_nearest(packed, bounds, k)
+        if parts is not None:
+            # Places of wide blocks have a list per block that they met; those without any stay.
+            parts = written(parts, "parts")
+            met = parts.select(F.col("rank").alias("q_rank"), F.explode("others").alias("n"))
+            lists = nested(met.select("q_rank", "n.dist", "n.dst")).select("rank", "others")
+            solved = solved.unionByName(joined(parts.drop("others").dropDuplicates(["rank"]), lists))
+        solved = solved.withColumn("s_ids", F.col("r_ids"))
     else:
-        found = matches(packed, bounds, targets, ["rank"], ["s_ids"], _elsewhere(shape))
-    if ties == "distinct":
-        pairs = found.select("q_rank", "dist", F.get("t_s_ids", F.lit(0)).alias("dst"))
-    else:
-        first_ids = F.explode(F.slice("t_s_ids", 1, k)).alias("dst")
-        pairs = found.select("q_rank", "dist", first_ids)
-        if not unique_ids:
-            pairs = pairs.distinct()
-    ranked = top_k(pairs, k, ties, by="q_rank")
-    lists = _nested(ranked, ["q_rank"], F.struct("dist", "dst"), "others").select(
-        F.col("q_rank").alias("rank"), "others"
-    )
-    none = F.array().cast(lists.schema["others"].dataType)
-    solved = bounds.join(lists, "rank", "left").withColumn("others", F.coalesce("others", none))
+        if vectors:
+            if work:
+                return vector_matches(packed, bounds, targets, k, ties, count=True)
+            found = vector_matches(packed, bounds, targets, k, ties)
+        else:
+            found = matches(packed, bounds, targets, ["rank"], ["s_ids"], _elsewhere(shape))
+        if ties == "distinct":
+            pairs = found.select("q_rank", "dist", F.get("t_s_ids", F.lit(0)).alias("dst"))
+        else:
+            first_ids = F.explode(F.slice("t_s_ids", 1, k)).alias("dst")
+            pairs = found.select("q_rank", "dist", first_ids)
+            if not unique_ids:
+                pairs = pairs.distinct()
+        solved = joined(bounds, nested(pairs).select("rank", "others"))
 
     few = solved
     if packed.widest > cap:

@@ -328,3 +328,52 @@ def test_vectors_are_sent_once_per_block(spark, monkeypatch):
         assert sorted(r[:3] for r in got if r[0] % 97 == 0) == sorted(want)
     # 10 blocks of 256 on either side; by tiles of 128 it was 20 times the rows and more.
     assert 0 < seen[0] <= 2 * 10 * len(v)
+
+
+def test_points_are_sent_once_per_block(spark, points, monkeypatch):
+    """A row goes to its block and to blocks beside it, and a source's candidates stay in that task."""
+    monkeypatch.setattr(tiles, "PLANE_BLOCK", 1024)
+    sent, kept = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    real = tiles.plane_kernel.search
+
+    def watched(*args):
+        run = real(*args)
+
+        def counted(sources, targets):
+            found = run(sources, targets)
+            sent.add(sources.num_rows + targets.num_rows)
+            kept.add(len(found.column("others").combine_chunks().flatten()))
+            return found
+
+        return counted
+
+    monkeypatch.setattr(tiles.plane_kernel, "search", watched)
+    rng = random.Random(5)
+    data = [(i, rng.random(), rng.random()) for i in range(4000)]
+    got = brute.rows(ts.knn_exact(points(data), None, 3, unique_ids=True))
+    assert len(got) == 3 * len(data)
+    want = brute.top_k(brute.pairs(data[::40], data), 3)
+    assert {r for r in got if r[0] % 40 == 0} == want
+    assert len(data) < sent.value <= 3 * len(data) and kept.value == 3 * len(data)
+
+
+@pytest.mark.parametrize("reach", [1, 3])
+def test_blocks_that_reach_many_others(points, monkeypatch, reach):
+    """Such blocks meet one block at a time; a place alone in its reach and null or string ids lose nothing."""
+    monkeypatch.setattr(tiles, "PLANE_BLOCK", 32)
+    monkeypatch.setattr(tiles, "PLANE_REACH", reach)
+    data = clustered(400, 11)
+    data += [(i, 0.25, 0.25) for i, _, _ in data[:40]] + data[:30]
+    got = ts.knn_exact(points(data), None, 4)
+    assert brute.rows(got) == brute.top_k(brute.pairs(data, data), 4)
+    # Points on a circle around one point: its neighbours are at one distance, so it has no bound.
+    ring = [(i, float(x * s), float(y * t)) for i, (x, y, s, t) in enumerate(
+        (x, y, s, t) for x, y in ((3, 4), (4, 3), (0, 5), (5, 0)) for s in (1, -1) for t in (1, -1)
+    )] * 3 + [(99, 0.0, 0.0)] + [(i + 100, 1000.0 + i, 7.0) for i in range(200)]
+    named = [(f"n{i}", x, y) for i, x, y in ring]
+    assert brute.rows(ts.knn_exact(points(named, "string"), None, 3)) == brute.top_k(brute.pairs(named, named), 3)
+    nameless = [(None, x, y) for _, x, y in data[:50]] + [(i, x + 0.001, y) for i, x, y in data]
+    few = {(r.src, r.rk, r.dist) for r in ts.knn_exact(points(nameless), None, 4).collect()}
+    monkeypatch.setattr(tiles, "PLANE_REACH", 1 << 20)
+    monkeypatch.setattr(tiles, "PLANE_BLOCK", 1 << 13)
+    assert few == {(r.src, r.rk, r.dist) for r in ts.knn_exact(points(nameless), None, 4).collect()}
