@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tessera as ts
+from tessera.operators import radius as radii
 from tessera.operators import upsample as growing
 from tessera.plans import skew, tiles
 
@@ -45,6 +47,46 @@ def test_equals_full_comparison(points, monkeypatch, salted):
     assert pairs(ts.radius_join(points(r), points(s), 1.5, exclude_self=True)) == want
 
 
+@pytest.mark.parametrize("salted", [False, True])
+def test_larger_tiles_give_the_same_pairs(points, monkeypatch, salted):
+    monkeypatch.setattr(radii, "TILE", 8)
+    monkeypatch.setattr(radii, "TILES", 2, raising=False)
+    if salted:
+        monkeypatch.setattr(tiles, "BUSY", 1)
+        monkeypatch.setattr(skew, "HOT_SHARE", 4)
+    sizes, join = [], radii.matches
+    monkeypatch.setattr(radii, "matches", lambda packed, *a, **more: sizes.append(packed.size) or join(packed, *a, **more))
+    odd = [(None, 1.0, 1.0), (9, -0.0, 0.0), (9, 0.0, -0.0), (9, None, 1.0), (9, float("inf"), 0.0)]
+    r, s = points(crowded(450, 6) + odd), points(crowded(390, 7) + odd * 2)
+    finite = [p for p in crowded(450, 6) + odd if p[1] is not None and abs(p[1]) < 1e9]
+    others = [p for p in crowded(390, 7) + odd * 2 if p[1] is not None and abs(p[1]) < 1e9]
+
+    for a, b, left, right in ((r, None, finite, finite), (r, s, finite, others)):
+        for most in (9.0, 0.0):
+            got = Counter((row.src, row.dst) for row in ts.radius_join(a, b, most).collect())
+            near = [(p[0], q[0]) for p in left for q in right if math.sqrt((p[1] - q[1]) ** 2 + (p[2] - q[2]) ** 2) <= most]
+            assert sizes[-1] > radii.TILE
+            assert got == Counter(near)
+
+
+def test_rows_sent_grow_with_the_input(points, monkeypatch):
+    monkeypatch.setattr(radii, "TILES", 16, raising=False)
+    met, join = [], radii.matches
+
+    def counted(packed, probes, targets, *more, **named):
+        met.append((packed.size, tiles.tile_pairs(packed, probes, targets).count()))
+        return join(packed, probes, targets, *more, **named)
+
+    monkeypatch.setattr(radii, "matches", counted)
+    rng = random.Random(8)
+    for n, most in ((4096, 0.5), (16384, 0.5), (4096, 0.001)):
+        ts.radius_join(points([(i, rng.random(), rng.random()) for i in range(n)]), None, most)
+    # A row is sent to each tile that its own meets: with four times the rows, to no more of them.
+    (small, few), (large, many), (sparse, _) = met
+    assert large == 4 * small and many <= 1.2 * few
+    assert sparse == radii.TILE
+
+
 def test_capped(points):
     r = crowded(100, 3)
     found = [p for p in brute.pairs(r, r, exclude_self=False) if p[2] <= 3.0]
