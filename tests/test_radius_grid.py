@@ -4,6 +4,7 @@ from collections import Counter
 
 import brute
 import pytest
+from check_oracle import entry
 from pyspark.sql import functions as F
 
 import tessera as ts
@@ -105,6 +106,24 @@ def test_expanded_places_equal_the_join(points, monkeypatch, salted):
         assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
 
 
+def test_expanded_query_has_every_pair_of_rows(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, rng.randrange(3), rng.choice([1.0, 499.0, 501.0, -20.0, None])) for i in range(60)] + [(60, None, 1.0)]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    got = entry.queries()["radius_places_expanded"](spark, str(tmp_path))
+    placed = [(i, float(x), float(y // 500)) for i, x, y in rows if x is not None and y is not None]
+    assert got.columns == ["src", "dst", "dist"]
+    assert pairs(got) == sorted(p for p in brute.pairs(placed, placed) if p[2] <= 1.0)
+
+
+def test_pairs_of_crowded_places_are_dealt_by_their_number(points, monkeypatch):
+    monkeypatch.setattr(radii, "PAIRS_PER_TASK", 1000, raising=False)
+    r = points([(i, float(i % 2), 0.0) for i in range(400)])
+    found = ts.expand_places(ts.radius_places(r, None, 1.0), r)
+    sizes = [n.n for n in found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 160_000 and len(sizes) > 32 and max(sizes) < 16_000
+
+
 @pytest.mark.parametrize("salted", [False, True])
 def test_members_have_the_links_of_the_join(points, monkeypatch, salted):
     if salted:
