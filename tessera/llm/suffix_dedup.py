@@ -6,8 +6,9 @@
 2. Count. Segments with equal bytes are one content; where a content stands twice,
    all its windows do. Counting combines on the map side, so that copies are
    cheap, however many there are.
-3. Sort. Anchors with several contents are dealt over shards, and each shard's
-   suffixes are sorted by external induced sorting with their common prefixes
+3. Sort. Anchors with several contents are dealt over shards. Windows with most of
+   their bytes in one content only stand once (``alike``); the suffixes of the others'
+   bytes are sorted by external induced sorting with their common prefixes
    (``suffixes.py``). Many contents of one anchor make one larger shard. Beyond ``HOT``
    of them, some 50 MB, the anchor's windows are hashed and counted one by one instead.
 4. Mark. Windows found go back to all segments of their content, and to texts.
@@ -22,11 +23,12 @@ then drops what is left of that character.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,8 +40,8 @@ from tessera.plans.cut import Tables, written
 LENGTH, GRAM = 400, 32
 #: Bytes of a shard, and contents of an anchor that still go to one.
 SHARD, HOT = 1_000_000, 1 << 16
-#: Bytes that are cut at once.
-BUFFER = 1_000_000
+#: Bytes that are cut at once: few, as there are some numbers for each, which a core's cache should hold.
+BUFFER = 1 << 17
 
 # Odd multipliers of the rolling hash.
 _STEP, _MIX = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD
@@ -55,6 +57,10 @@ def _keys(docs: DataFrame, text: str) -> list[Column]:
     return [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("key"), size.alias("size")]
 
 
+def _bytes(texts: pa.StringArray) -> list[bytes]:
+    return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+
+
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """Mixed polynomial hashes of all ``size`` bytes in a row; ``size`` is a power of two."""
     found = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(_MIX)
@@ -95,6 +101,53 @@ def cut(data: np.ndarray, sizes: np.ndarray, length: int, gram: int) -> tuple[np
     return hashes[anchor[first]].view(np.int64), text[first], first - (ends - sizes)[text[first]], windows
 
 
+def _anchors(
+    joined: bytes, anchor: np.ndarray, at: np.ndarray, sizes: np.ndarray, gram: int
+) -> Iterator[np.ndarray]:
+    """The anchors' places in ``joined``: the first gram of each content with that hash."""
+    ends = at + sizes
+    start = 0
+    while start < len(at):
+        stop = max(start + 1, int(np.searchsorted(ends, at[start] + BUFFER, "right")))
+        hashes = gram_hashes(np.frombuffer(joined, np.uint8)[at[start] : ends[stop - 1]], gram).view(np.int64)
+        hits = np.flatnonzero(hashes == np.repeat(anchor[start:stop], sizes[start:stop])[: len(hashes)]) + at[start]
+        _, first = np.unique(np.searchsorted(at[start:stop], hits, "right"), return_index=True)
+        yield hits[first]
+        start = stop
+
+
+def alike(
+    joined: bytes, anchor: np.ndarray, at: np.ndarray, windows: np.ndarray, length: int, gram: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of windows (first places and numbers) that can stand in another content of their anchor.
+
+    Contents from ``at`` on in ``joined``. Equal windows have their anchor at one place, so
+    windows that begin up to a quarter of the possible places apart have most of their bytes in
+    common: where no other content has these bytes, none has one of the windows. What is left
+    may hold windows that stand once.
+    """
+    place = np.concatenate([np.empty(0, np.int64), *_anchors(joined, anchor, at, windows + (length - 1), gram)])
+    width = -(-(length - gram + 1) // 4)
+    # Windows by how far before the anchor they begin, from the nearest to the farthest.
+    nearest, farthest = place - at - windows + 1, place - at
+    steps = farthest // width - nearest // width + 1
+    row = np.repeat(np.arange(len(at)), steps)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(steps) - steps, steps) + (nearest // width)[row]
+    starts = (place[row] - step * width).tolist()
+    common = list(zip(anchor[row].tolist(), step.tolist(), [joined[s : s + length - width + 1] for s in starts]))
+    times = Counter(common)
+    kept = np.flatnonzero([times[c] > 1 for c in common])
+    row, step = row[kept], step[kept]
+    last = place[row] - np.maximum(step * width, nearest[row])
+    start = place[row] - np.minimum(step * width + width - 1, farthest[row])
+    # Steps go back from the anchor, places in the text forward.
+    order = np.argsort(start)
+    start, last = start[order], last[order]
+    new = np.append(True, start[1:] != last[:-1] + 1)[: len(start)]
+    head = np.flatnonzero(new)
+    return start[head], np.append(last[head[1:] - 1], last[-1:]) - start[head] + 1
+
+
 SEGMENTS = "key long, size int, anchor long, content long, first int, windows int, run int"
 
 
@@ -127,10 +180,9 @@ def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, texts, held = [], [], 0
         for batch in batches:
-            for key, text in zip(batch.column("key"), batch.column("text")):
-                own = (text.as_py() or "").encode()
+            for key, own in zip(batch.column("key").to_pylist(), _bytes(batch.column("text"))):
                 if len(own) >= length:
-                    keys.append(key.as_py())
+                    keys.append(key)
                     texts.append(own)
                     held += len(own)
                     if held >= BUFFER:
@@ -181,63 +233,71 @@ def repeats(rows: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
         met = rows.join(lists, KEYS).withColumn("one", one).where("one")
         return met.select("doc", "text", "segments").mapInArrow(function, schema)
 
-    def parts(batch: pa.RecordBatch) -> Iterator[tuple[dict, np.ndarray]]:
-        for text, own in zip(batch.column("text"), batch.column("segments")):
-            data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-            for s in own.as_py():
-                yield s, data[s["first"] : s["first"] + s["windows"] + length - 1]
+    def parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+        """Segments of the texts with their bytes, some at a time."""
+        texts, own = _bytes(batch.column("text")), batch.column("segments")
+        of, every = pc.list_parent_indices(own), pa.RecordBatch.from_struct_array(own.flatten())
+        for start in range(0, len(of), 2048):
+            some = every.slice(start, 2048)
+            places = (c.to_pylist() for c in (of.slice(start, 2048), some.column("first"), some.column("windows")))
+            yield some, [texts[t][first : first + n + length - 1] for t, first, n in zip(*places)]
 
     def bring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = []
-
-        def table() -> pa.RecordBatch:
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*made), types)], [*content, "windows", "data"]
-            )
-
         for batch in batches:
-            for s, part in parts(batch):
-                made.append((s["anchor"], s["content"], s["windows"], part.tobytes()))
-                if len(made) >= 2048:
-                    yield table()
-                    made = []
-        if made:
-            yield table()
-
-    def sort(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        sizes = own["data"].map(len).to_numpy()
-        at = np.cumsum(sizes) - sizes
-        valid = np.zeros(int(sizes.sum()), bool)
-        for first, windows in zip(at, own["windows"]):
-            valid[first : first + windows] = True
-        found = suffixes.repeated(np.frombuffer(b"".join(own["data"]), np.uint8), valid, length)
-        spans = [_spans(found[first : first + windows]) for first, windows in zip(at, own["windows"])]
-        made = own[content].assign(spans=[[{"at": int(a), "n": int(n)} for a, n in s] for s in spans])
-        return made[[len(s) > 0 for s in spans]]
+            for some, data in parts(batch):
+                columns = [some.column(c) for c in (*content, "windows")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(data, pa.binary())], [*content, "windows", "data"])
+
+    def sort(own: pa.Table) -> pa.Table:
+        own = own.combine_chunks()
+        anchor, hashed, windows = (own.column(c).to_numpy() for c in (*content, "windows"))
+        joined = b"".join(own.column("data").to_pylist())
+        sizes = windows + (length - 1)
+        at = np.cumsum(sizes, dtype=np.int64) - sizes
+        first, n = alike(joined, anchor, at, windows, length, gram)
+        starts = np.cumsum(n + (length - 1)) - (n + (length - 1))
+        parts = list(zip(starts.tolist(), first.tolist(), n.tolist()))
+        valid, marks = np.zeros(int(n.sum()) + len(n) * (length - 1), bool), np.zeros(len(joined), bool)
+        for start, _, count in parts:
+            valid[start : start + count] = True
+        view = memoryview(joined)
+        bytes_of = b"".join([view[place : place + count + length - 1] for _, place, count in parts])
+        found = suffixes.repeated(np.frombuffer(bytes_of, np.uint8), valid, length)
+        for start, place, count in parts:
+            marks[place : place + count] = found[start : start + count]
+        # Between two contents' windows stand bytes that start none.
+        spans = _spans(marks)
+        row = np.searchsorted(at, spans[:, 0], "right") - 1
+        having, offsets = np.unique(row, return_index=True)
+        lists = pa.StructArray.from_arrays(
+            [pa.array((spans[:, 0] - at[row]).astype(np.int32)), pa.array(spans[:, 1].astype(np.int32))], ["at", "n"]
+        )
+        lists = pa.ListArray.from_arrays(pa.array(np.append(offsets, len(row)).astype(np.int32)), lists)
+        return pa.table([pa.array(anchor[having]), pa.array(hashed[having]), lists], [*content, "spans"])
 
     marked = "anchor long, content long, spans array<struct<at:int,n:int>>"
     by_shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
     data = brought(asked.where("NOT hot"), bring, "anchor long, content long, windows int, data binary")
-    found = data.select("*", by_shard).groupBy("shard").applyInPandas(sort, marked)
+    found = data.select("*", by_shard).groupBy("shard").applyInArrow(sort, marked)
     if sums["hot"]:
 
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for s, part in parts(batch):
-                    n, width = len(part) - length + 1, 1 << (length.bit_length() - 1)
-                    # A window is known by its first and its last bytes, which overlap.
-                    halves = gram_hashes(part, width)
-                    hashes = halves[:n] * np.uint64(_STEP) ^ halves[length - width :][:n]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([s["anchor"]] * n, pa.int64()),
-                            pa.array([s["content"]] * n, pa.int64()),
-                            pa.array(np.arange(n, dtype=np.int32)),
-                            pa.array(hashes.view(np.int64)),
-                        ],
-                        [*content, "at", "hash"],
-                    )
+                for some, data in parts(batch):
+                    for anchor, own, part in zip(*(some.column(c).to_pylist() for c in content), data):
+                        n, width = len(part) - length + 1, 1 << (length.bit_length() - 1)
+                        # A window is known by its first and its last bytes, which overlap.
+                        halves = gram_hashes(np.frombuffer(part, np.uint8), width)
+                        hashes = halves[:n] * np.uint64(_STEP) ^ halves[length - width :][:n]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([anchor] * n, pa.int64()),
+                                pa.array([own] * n, pa.int64()),
+                                pa.array(np.arange(n, dtype=np.int32)),
+                                pa.array(hashes.view(np.int64)),
+                            ],
+                            [*content, "at", "hash"],
+                        )
 
         windows = brought(asked.where("hot"), hashed, "anchor long, content long, at int, hash long")
         windows = written(windows.distinct(), "windows")
@@ -265,17 +325,17 @@ def _spans(marks: np.ndarray) -> np.ndarray:
     return np.column_stack([edges[::2], edges[1::2] - edges[::2]])
 
 
-def kept_bytes(text: bytes, spans: list) -> tuple[bytes, int, int]:
+def kept_bytes(text: bytes, at: np.ndarray, n: np.ndarray) -> tuple[bytes, int, int]:
     """The bytes outside of all spans, how many are inside and in how many runs."""
-    if not spans:
+    if not len(at):
         return text, 0, 0
-    change = np.zeros(len(text) + 1, np.int64)
-    at, n = np.array([(s["at"], s["n"]) for s in spans], np.int64).T
-    np.add.at(change, at, 1)
-    np.add.at(change, at + n, -1)
-    inside = np.cumsum(change[:-1]) > 0
-    data = np.frombuffer(text, np.uint8)
-    return data[~inside].tobytes(), int(inside.sum()), len(_spans(inside))
+    order = np.argsort(at, kind="stable")
+    at, ends = at[order], np.maximum.accumulate((at + n)[order])
+    # A run begins behind the end of all spans before.
+    head = np.flatnonzero(np.append(True, at[1:] > ends[:-1]))
+    starts, ends = at[head].tolist(), ends[np.append(head[1:], len(at)) - 1].tolist()
+    kept = b"".join([text[e:s] for e, s in zip([0, *ends], [*starts, len(text)])])
+    return kept, len(text) - len(kept), len(starts)
 
 
 def removed(
@@ -298,8 +358,11 @@ def removed(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(t.as_py() or "").encode() for t in batch.column("text")]
-            found = [kept_bytes(t, s) for t, s in zip(texts, batch.column("spans").to_pylist())]
+            texts, lists = _bytes(batch.column("text")), batch.column("spans")
+            spans = lists.flatten()
+            at, n = (spans.field(c).to_numpy() for c in ("at", "n"))
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()).tolist()
+            found = [kept_bytes(t, at[s:e], n[s:e]) for t, s, e in zip(texts, [0, *ends], ends)]
             numbers = [[len(t) for t in texts], [f[1] for f in found], [f[2] for f in found]]
             kept = [f[0].decode("utf-8", "ignore") if as_text else f[0] for f in found]
             yield pa.RecordBatch.from_arrays(

@@ -104,7 +104,8 @@ class Text:
             long[: self.n] = self.chars
             found = np.zeros(self.n, np.uint64)
             for i in range(8):
-                found = (found << np.uint64(8)) | long[i : i + self.n]
+                found <<= np.uint64(8)
+                found |= long[i : i + self.n]
             self._words = np.append(found, np.uint64(0))
         return self._words
 
@@ -114,83 +115,115 @@ class Text:
         found = np.zeros(len(a), np.int64)
         step = 8 if self.size <= 256 else 1
         source = self.words() if step == 8 else self.chars
+        # Those still equal, by number, and where they are compared next.
         active = np.flatnonzero(limit > 0)
+        a, b, left, done = a[active], b[active], limit[active], 0
         while len(active):
-            at = found[active]
-            equal = source[a[active] + at] == source[b[active] + at]
-            found[active[equal]] += step
-            different = active[~equal]
-            if step == 8 and len(different):
-                x = source[a[different] + found[different]] ^ source[b[different] + found[different]]
-                # The first byte that differs: leading zero bytes of the exclusive or.
-                for shift in range(56, 0, -8):
-                    found[different] += x >> np.uint64(shift) == 0
-            active = active[equal]
-            active = active[found[active] < limit[active]]
+            x, y = source[a], source[b]
+            equal = x == y
+            if not equal.all():
+                different = active[~equal]
+                found[different] = done
+                if step == 8:
+                    x = (x ^ y)[~equal]
+                    # The first byte that differs: leading zero bytes of the exclusive or.
+                    for shift in range(56, 0, -8):
+                        found[different] += x >> np.uint64(shift) == 0
+            done += step
+            ended = equal & (left <= done)
+            found[active[ended]] = done
+            on = equal & ~ended
+            active, a, b, left = active[on], a[on] + step, b[on] + step, left[on]
         return np.minimum(found, limit)
 
 
-def _scan(text: Text, queue: Queue, since: np.ndarray, positions: np.ndarray, prefixes: np.ndarray, s_type: bool) -> None:
+def _scan(
+    text: Text, queue: Queue, since: np.ndarray, positions: np.ndarray, prefixes: np.ndarray | None, s_type: bool
+) -> None:
     """Put the predecessors of one type into their queues.
 
-    ``since`` has, per character, the least prefix scanned since its last entry.
+    ``since`` has, per character, the least prefix scanned since its last entry. Without
+    ``prefixes`` there is the order only.
     """
     before = positions - 1
-    putting = np.flatnonzero((before >= 0) & (text.is_s[np.maximum(before, 0)] == s_type))
+    putting = np.flatnonzero((before >= 0) & (text.is_s[before] == s_type))
     chars = text.chars[before[putting]]
     # Few characters sort fast as short numbers.
-    order = np.argsort(chars.astype(np.uint16) if text.size <= 1 << 16 else chars, kind="stable")
+    short = chars.astype(np.uint16) if 256 < text.size <= 1 << 16 else chars
+    order = np.argsort(short, kind="stable")
     chars, putting = chars[order], putting[order]
-    starts = np.flatnonzero(np.append(True, chars[1:] != chars[:-1])) if len(chars) else np.empty(0, np.int64)
-    old = since.copy()
-    np.minimum(since, prefixes.min(initial=_FAR), out=since)
-    for start, end in zip(starts, np.append(starts[1:], len(chars))):
-        char, at = int(chars[start]), putting[start:end]
-        firsts = np.append(0, at[:-1] + 1)
-        least = np.minimum.reduceat(prefixes[: at[-1] + 1], firsts)
-        least[0] = min(least[0], old[char])
-        queue.put(char, before[at], least + 1)
-        since[char] = prefixes[at[-1] + 1 :].min(initial=_FAR)
-
-
-def induced(text: Text, seeds: np.ndarray, prefixes: np.ndarray, memory: int = MEMORY) -> Iterator[Entries]:
+    n = len(chars)
+    new = np.ones(n + 1, bool)
+    new[1:-1] = chars[1:] != chars[:-1]
+    bounds = np.flatnonzero(new)
+    starts, ends = bounds[:-1], bounds[1:]
+    heads = chars[starts]
+    if prefixes is None:
+        least = np.zeros(n, np.int64)
+    else:
+        padded = np.full(len(prefixes) + 1, _FAR)
+        padded[:-1] = prefixes
+        old = since[heads]
+        np.minimum(since, padded.min(), out=since)
+        if n:
+            # From behind the last of the same character to this one.
+            spans = np.zeros(2 * n, np.int64)
+            spans[1::2] = putting + 1
+            spans[2::2] = spans[1:-1:2]
+            spans[2 * starts] = 0
+            least = np.minimum.reduceat(padded, spans)[::2]
+            least[starts] = np.minimum(least[starts], old)
+            least += 1
+            since[heads] = np.minimum.accumulate(padded[::-1])[::-1][putting[ends - 1] + 1]
+    before = before[putting]
+    for char, start, end in zip(heads.tolist(), starts.tolist(), ends.tolist()):
+        queue.put(char, before[start:end], least[start:end])
+
+
+def induced(text: Text, seeds: np.ndarray, prefixes: np.ndarray | None, memory: int = MEMORY) -> Iterator[Entries]:
     """The suffixes from the last first character to the first: ascending positions' order within, with prefixes.
 
-    ``seeds`` are the leftmost S suffixes in order, ``prefixes`` their common prefixes.
+    ``seeds`` are the leftmost S suffixes in order, ``prefixes`` their common prefixes; without
+    these there are none to go on, and zeros stand for the others'.
     """
+    ordered = prefixes is None
     larger, smaller = Queue(memory), Queue(memory)
     present = np.unique(text.chars)
     since = np.full(text.size, -1, np.int64)
-    cut = np.append(np.searchsorted(text.chars[seeds], present), len(seeds))
+    cut = np.append(np.searchsorted(text.chars[seeds], present), len(seeds)).tolist()
+    present = present.tolist()
     last = text.n - 1
     larger.put(int(text.chars[last]), np.array([last]), np.array([0]))
     since[text.chars[last]] = _FAR
     for char, start, end in zip(present, cut[:-1], cut[1:]):
         above = -1
-        while len((entries := larger.take(int(char)))[0]):
+        while len((entries := larger.take(char))[0]):
             positions, own = entries[0], entries[1].copy()
             if above < 0:
                 own[0] = 0
-            _scan(text, larger, since, positions, own, False)
+            _scan(text, larger, since, positions, None if ordered else own, False)
             above = positions[-1]
         if end > start:
-            own = prefixes[start:end].copy()
-            own[0] = min(text.run[above], text.run[seeds[start]]) if above >= 0 else 0
+            own = None
+            if not ordered:
+                own = prefixes[start:end].copy()
+                own[0] = min(text.run[above], text.run[seeds[start]]) if above >= 0 else 0
             _scan(text, larger, since, seeds[start:end], own, False)
     since[:] = -1
     for char in present[::-1]:
         below = -1
-        while len((entries := smaller.take(int(char)))[0]):
+        while len((entries := smaller.take(char))[0]):
             positions, own = entries[0], entries[1].copy()
             if below < 0:
                 own[0] = 0
-            _scan(text, smaller, since, positions, own, True)
+            _scan(text, smaller, since, positions, None if ordered else own, True)
             below = positions[-1]
-        first, first_prefixes = larger.all(int(char))
-        second, second_prefixes = smaller.all(int(char))
+        first, first_prefixes = larger.all(char)
+        second, second_prefixes = smaller.all(char)
         touch = min(text.run[first[-1]], text.run[below]) if len(first) and below >= 0 else 0
         if len(first):
-            _scan(text, smaller, since, first[::-1], np.append(touch, first_prefixes[:0:-1]), True)
+            own = None if ordered else np.append(touch, first_prefixes[:0:-1])
+            _scan(text, smaller, since, first[::-1], own, True)
             first_prefixes = first_prefixes.copy()
             first_prefixes[0] = 0
         # An S entry's value is that with the larger one put before it.
@@ -224,7 +257,7 @@ def sorted_lms(text: Text, reach: int, memory: int = MEMORY, base: int = BASE) -
     by_char = lms[np.argsort(text.chars[lms], kind="stable")]
     is_lms = np.zeros(text.n, bool)
     is_lms[lms] = True
-    parts = [p[is_lms[p]] for p, _ in induced(text, by_char, np.zeros(len(lms), np.int64), memory)]
+    parts = [p[is_lms[p]] for p, _ in induced(text, by_char, None, memory)]
     order = np.concatenate(parts[::-1])
     # Equal substrings get equal names; the last one ends with the text and is unlike any other.
     length = np.diff(np.append(lms, text.n)) + 1
@@ -246,7 +279,7 @@ def sorted_lms(text: Text, reach: int, memory: int = MEMORY, base: int = BASE) -
         return lms[doubled(names, reach)]
     below = Text(names)
     seeds = sorted_lms(below, reach, memory, base)
-    found = [p for p, _ in induced(below, seeds, np.zeros(len(seeds), np.int64), memory)]
+    found = [p for p, _ in induced(below, seeds, None, memory)]
     return lms[np.concatenate(found[::-1])]
 
 

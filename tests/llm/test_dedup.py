@@ -157,6 +157,32 @@ def test_shared_passages_in_both_ways(documents, monkeypatch, hot):
     assert cut(docs, length=64, gram=16, hot=hot) == brute(rows, 64)
 
 
+@pytest.mark.parametrize("length, gram", [(64, 16), (61, 8), (64, 32)])
+def test_windows_that_stand_once_are_not_sorted(length, gram):
+    """Short phrases that many texts share, and few long passages: all their windows are kept, most others go."""
+    rng = random.Random(length)
+    text = lambda n: bytes(rng.choices(b"abcdefgh", k=n))
+    phrases, passages = [text(gram + 8) for _ in range(6)], [text(2 * length) for _ in range(3)]
+    texts = [b"".join(text(rng.randint(20, 60)) + rng.choice(phrases) for _ in range(8)) for _ in range(150)]
+    texts += [text(50) + rng.choice(passages)[rng.randint(0, 9) :] + text(50) for _ in range(20)]
+    sizes = np.array([len(t) for t in texts])
+    anchors, of, first, n = suffix_dedup.cut(np.frombuffer(b"".join(texts), np.uint8), sizes, length, gram)
+    contents = sorted({(a, texts[t][f : f + w + length - 1]) for a, t, f, w in zip(*(c.tolist() for c in (anchors, of, first, n)))})
+    anchor, data = np.array([a for a, _ in contents]), [d for _, d in contents]
+    sizes = np.array([len(d) for d in data])
+    at, joined = np.cumsum(sizes) - sizes, b"".join(data)
+    starts, counts = suffix_dedup.alike(joined, anchor, at, sizes - length + 1, length, gram)
+    kept = np.zeros(len(joined), bool)
+    for start, count in zip(starts, counts):
+        assert not kept[max(start - 1, 0) : start + count].any()
+        kept[start : start + count] = True
+    windows = [s + i for s, size in zip(at.tolist(), sizes.tolist()) for i in range(size - length + 1)]
+    times = Counter(joined[w : w + length] for w in windows)
+    shared = [w for w in windows if times[joined[w : w + length]] > 1]
+    assert shared and kept[shared].all() and kept.sum() < len(windows) / 2
+    assert set(np.flatnonzero(kept)) <= set(windows)
+
+
 def test_texts_without_repeats(sample, odd):
     for docs in (sample, odd):
         left = suffix_dedup.without_repeats(docs)
