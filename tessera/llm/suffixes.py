@@ -95,6 +95,8 @@ class Text:
         rises = np.append(chars[:-1] < chars[1:], False)
         self.is_s = rises[last]
         self.lms = np.flatnonzero(self.is_s[1:] & ~self.is_s[:-1]) + 1
+        # The type of the position before; the first has none.
+        self.before = np.append(np.int8(-1), self.is_s[:-1].view(np.int8))
         self._words = None
 
     def words(self) -> np.ndarray:
@@ -145,13 +147,12 @@ def _scan(
     ``since`` has, per character, the least prefix scanned since its last entry. Without
     ``prefixes`` there is the order only.
     """
-    before = positions - 1
-    putting = np.flatnonzero((before >= 0) & (text.is_s[before] == s_type))
-    chars = text.chars[before[putting]]
+    putting = np.flatnonzero(text.before[positions] == s_type)
+    at = positions[putting] - 1
+    chars = text.chars[at]
     # Few characters sort fast as short numbers.
-    short = chars.astype(np.uint16) if 256 < text.size <= 1 << 16 else chars
-    order = np.argsort(short, kind="stable")
-    chars, putting = chars[order], putting[order]
+    order = np.argsort(chars.astype(np.uint16) if 256 < text.size <= 1 << 16 else chars, kind="stable")
+    chars, putting, at = chars[order], putting[order], at[order]
     n = len(chars)
     new = np.ones(n + 1, bool)
     new[1:-1] = chars[1:] != chars[:-1]
@@ -175,9 +176,8 @@ def _scan(
             least[starts] = np.minimum(least[starts], old)
             least += 1
             since[heads] = np.minimum.accumulate(padded[::-1])[::-1][putting[ends - 1] + 1]
-    before = before[putting]
     for char, start, end in zip(heads.tolist(), starts.tolist(), ends.tolist()):
-        queue.put(char, before[start:end], least[start:end])
+        queue.put(char, at[start:end], least[start:end])
 
 
 def induced(text: Text, seeds: np.ndarray, prefixes: np.ndarray | None, memory: int = MEMORY) -> Iterator[Entries]:
@@ -283,15 +283,35 @@ def sorted_lms(text: Text, reach: int, memory: int = MEMORY, base: int = BASE) -
     return lms[np.concatenate(found[::-1])]
 
 
+def neighbours(text: Text, order: np.ndarray, reach: int) -> np.ndarray:
+    """The common prefix of each suffix in ``order`` with the one before, exact below ``reach``.
+
+    Where the next suffix of the text stands behind the same shift of itself, as in a copy, only
+    the characters up to it are compared: the rest is its own prefix.
+    """
+    prefixes = np.zeros(len(order), np.int64)
+    if len(order) < 2:
+        return prefixes
+    rank = np.argsort(order)
+    rank = rank[rank > 0]
+    a, b = order[rank], order[rank - 1]
+    gap = np.append(np.diff(a), reach)
+    along = np.append((a - b)[1:] == (a - b)[:-1], False) & (gap < reach)
+    own = text.common(a, b, np.where(along, gap, reach))
+    # The first suffix from each on whose prefix ends before the next.
+    stops = np.flatnonzero(~(along & (own == gap)))
+    stop = stops[np.searchsorted(stops, np.arange(len(a)))]
+    prefixes[rank] = np.minimum(a[stop] - a + own[stop], reach)
+    return prefixes
+
+
 def suffixes(chars: np.ndarray, reach: int, memory: int = MEMORY, base: int = BASE) -> Iterator[Entries]:
     """Suffixes with common prefixes, by falling first character; prefixes are exact below ``reach``."""
     if not len(chars):
         return
     text = Text(chars)
     seeds = sorted_lms(text, reach, memory, base)
-    prefixes = np.zeros(len(seeds), np.int64)
-    prefixes[1:] = text.common(seeds[:-1], seeds[1:], np.full(max(0, len(seeds) - 1), reach))
-    yield from induced(text, seeds, prefixes, memory)
+    yield from induced(text, seeds, neighbours(text, seeds, reach), memory)
 
 
 def repeated(chars: np.ndarray, valid: np.ndarray, length: int, memory: int = MEMORY, base: int = BASE) -> np.ndarray:

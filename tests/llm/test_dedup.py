@@ -115,6 +115,18 @@ def test_suffix_order():
             assert prefixes == [0] + [common(a, b) for a, b in zip(want, want[1:])]
 
 
+@pytest.mark.parametrize("reach", [7, 40, 1000])
+def test_prefixes_along_copies(reach):
+    rng = random.Random(reach)
+    passage = bytes(rng.choices(b"abcd", k=90))
+    raw = b"".join(bytes(rng.choices(b"abcd", k=rng.randint(1, 9))) + passage[rng.randint(0, 30) :] for _ in range(12))
+    text = suffixes.Text(np.frombuffer(raw, np.uint8))
+    order = sorted(text.lms.tolist(), key=lambda i: raw[i:])
+    found = suffixes.neighbours(text, np.array(order), reach)
+    common = lambda a, b: next((k for k in range(reach) if raw[a + k : a + k + 1] != raw[b + k : b + k + 1]), reach)
+    assert found.tolist() == [0] + [common(a, b) for a, b in zip(order, order[1:])]
+
+
 def brute(rows, length):
     texts = [(t or "").encode() for _, t in rows]
     seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
